@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wideloom.functions.vectors import literal_vector, scalar_column, sq_dist
 from wideloom.operators.quantiles import exact_quantiles
-from wideloom.operators.rowsums import add, keep_smallest, sum_rows
+from wideloom.operators.rowsums import keep_smallest, sum_rows
 
 METRICS = ("euclidean", "manhattan", "cosine", "rbf")
 
@@ -164,13 +164,35 @@ def _seed_centers(df, code, vec, runs: list[_Run], p: int) -> None:
             r.centers = np.concatenate([r.centers, pick[None, :r.centers.shape[1]]])
 
 
-def _assign_stats(df, vec, runs: list[_Run]):
-    """Per run: cluster counts, sums, costs, plus value ranges for median updates."""
-    models, ranged = _views(runs), [r.spec.enhanced and r.spec.outlier_handling for r in runs]
+def _uses_median(r: _Run) -> bool:
+    return r.spec.enhanced and r.spec.outlier_handling
+
+
+def _bins(runs: Sequence[_Run]) -> int:
+    """Histogram width that keeps one pass's summary near two million numbers."""
+    cells = sum(2 * r.centers.size for r in runs if _uses_median(r))
+    return int(np.clip(2_000_000 // max(cells, 1), 32, 1024))
+
+
+def _histogram(v, a, k, lo, w, bins):
+    """Per (cluster, feature): rows below ``lo`` and counts in ``bins`` cells of [lo, lo + w]."""
+    p = v.shape[1]
+    below = np.zeros((k, p))
+    np.add.at(below, a, (v < lo[a]).astype(float))
+    cell = np.clip(np.floor((v - lo[a]) / np.where(w > 0, w, 1)[a] * bins), 0, bins - 1).astype(np.int64)
+    inside = (v >= lo[a]) & (v <= (lo + w)[a])
+    flat = ((a[:, None] * p + np.arange(p)) * bins + cell)[inside]
+    return below, np.bincount(flat, minlength=k * p * bins).reshape(k, p, bins)
+
+
+def _assign_stats(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray] | None, bins: int) -> None:
+    """Per run: cluster counts, sums and costs; median runs also get a first histogram
+    of every feature over its overall range, in the same pass."""
+    models, wide = _views(runs), [_uses_median(r) and span is not None for r in runs]
 
     def part(x):
         out = []
-        for m, wide in zip(models, ranged):
+        for m, histogram in zip(models, wide):
             d = m.distances(x)
             a = d.argmin(axis=1)
             k, v = len(m.centers), x[:, :m.dims]
@@ -178,72 +200,66 @@ def _assign_stats(df, vec, runs: list[_Run]):
             hot[np.arange(len(x)), a] = 1.0
             best = d[np.arange(len(x)), a]
             out += [hot.sum(0), hot.T @ v, hot.T @ cost(best, m.metric), hot.T @ best]
-            lo, hi = np.full((k, m.dims), np.inf), np.full((k, m.dims), -np.inf)
-            if wide:
-                np.minimum.at(lo, a, v)
-                np.maximum.at(hi, a, v)
-            out += [lo, hi]
-        return out
-
-    def merge(a, b):
-        out = []
-        for i, (x, y) in enumerate(zip(a, b)):
-            out.append(np.minimum(x, y) if i % 6 == 4 else np.maximum(x, y) if i % 6 == 5 else x + y)
+            if histogram:
+                lo = np.repeat(span[0][None, :m.dims], k, axis=0)
+                hi = np.repeat(span[1][None, :m.dims], k, axis=0)
+                out.append(_histogram(v, a, k, lo, hi - lo, bins)[1])
+            else:
+                out.append(np.zeros((k, 0)))
         return out
 
-    flat = sum_rows(df, [vec], part, merge)
+    flat = sum_rows(df, [vec], part)
     for i, r in enumerate(runs):
-        n, s, c, dist, lo, hi = flat[6 * i:6 * i + 6]
-        r.stats = {"n": n, "sum": s, "cost": c, "dist": dist, "lo": lo, "hi": hi}
+        r.stats = dict(zip(("n", "sum", "cost", "dist", "hist"), flat[5 * i:5 * i + 5]))
 
 
-MEDIAN_BITS = 40
+MEDIAN_BITS = 30  # medians are exact to this many bits of the feature's range
 
 
-def _medians(df, vec, runs: list[_Run]) -> dict[int, np.ndarray]:
-    """Median of every (run, cluster, feature), by narrowing histograms around the two
-    middle ranks until they are 2^-40 of the value range wide.
+def _narrow(lo, w, below, hist, rank):
+    """The histogram cell that holds the wanted rank."""
+    bins = hist.shape[-1]
+    seen = below[..., None] + hist.cumsum(axis=-1)
+    at = np.clip((seen <= rank[:, None, None]).sum(axis=-1), 0, bins - 1)
+    return lo + at * w / bins, w / bins
 
-    The summary per pass has a fixed size, however many rows a cluster holds.
-    """
-    cells = sum(2 * r.stats["lo"].size for r in runs)
-    bins = int(np.clip(2_000_000 // max(cells, 1), 32, 1024))
-    passes = int(np.ceil(MEDIAN_BITS / np.log2(bins)))
+
+def _medians(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray], bins: int) -> dict[int, np.ndarray]:
+    """Median of every (run, cluster, feature): the histogram of the assignment pass is
+    narrowed around the two middle ranks.  A pass has a fixed-size summary, however many
+    rows a cluster holds."""
     models = _views(runs)
-    lo = [np.stack([np.where(np.isfinite(r.stats["lo"]), r.stats["lo"], 0.0)] * 2) for r in runs]
-    hi = [np.stack([np.where(np.isfinite(r.stats["hi"]), r.stats["hi"], 0.0)] * 2) for r in runs]
-    ranks = [np.stack([np.floor((r.stats["n"] - 1) / 2), np.ceil((r.stats["n"] - 1) / 2)]) for r in runs]
-    for _ in range(passes):
-        if all(np.all(h <= l) for l, h in zip(lo, hi)):
-            break
-
-        def part(x, lo=lo, hi=hi):
+    lo, w, ranks = [], [], []
+    for r in runs:
+        k, p = r.centers.shape
+        lo0 = np.repeat(span[0][None, :p], k, axis=0)
+        w0 = np.repeat((span[1] - span[0])[None, :p], k, axis=0)
+        ranks.append([np.floor((r.stats["n"] - 1) / 2), np.ceil((r.stats["n"] - 1) / 2)])
+        both = [_narrow(lo0, w0, np.zeros((k, p)), r.stats["hist"], rank) for rank in ranks[-1]]
+        lo.append([b[0] for b in both])
+        w.append([b[1] for b in both])
+    for _ in range(int(np.ceil(MEDIAN_BITS / np.log2(bins))) - 1):
+        def part(x, lo=lo, w=w):
             out = []
-            for m, lo_r, hi_r in zip(models, lo, hi):
+            for m, lo_r, w_r in zip(models, lo, w):
                 a, v = m.distances(x).argmin(axis=1), x[:, :m.dims]
-                k, p = m.centers.shape
-                below, hist = np.zeros((2, k, p)), np.zeros((2, k, p, bins))
-                base = (a[:, None] * p + np.arange(p)) * bins
                 for t in range(2):
-                    l, w = lo_r[t][a], (hi_r[t] - lo_r[t])[a]
-                    np.add.at(below[t], a, (v < l).astype(float))
-                    i = np.clip(np.floor((v - l) / np.where(w > 0, w, 1) * bins), 0, bins - 1).astype(np.int64)
-                    ok = (v >= l) & (v <= l + w)
-                    hist[t] = np.bincount((base + i)[ok], minlength=k * p * bins).reshape(k, p, bins)
-                out += [below, hist]
+                    out += _histogram(v, a, len(m.centers), lo_r[t], w_r[t], bins)
             return out
 
-        flat = sum_rows(df, [vec], part, add)
-        new_lo, new_hi = [], []
+        flat = sum_rows(df, [vec], part)
         for i in range(len(runs)):
-            below, hist = flat[2 * i], flat[2 * i + 1]
-            seen = below[..., None] + hist.cumsum(axis=-1)
-            at = np.clip((seen <= ranks[i][:, :, None, None]).sum(axis=-1), 0, bins - 1)
-            w = (hi[i] - lo[i]) / bins
-            new_lo.append(lo[i] + at * w)
-            new_hi.append(np.where(w > 0, lo[i] + (at + 1) * w, lo[i]))
-        lo, hi = new_lo, new_hi
-    return {id(r): ((lo[i] + hi[i]) / 2).mean(axis=0) for i, r in enumerate(runs)}
+            both = [_narrow(lo[i][t], w[i][t], flat[4 * i + 2 * t], flat[4 * i + 2 * t + 1], ranks[i][t])
+                    for t in range(2)]
+            lo[i], w[i] = [b[0] for b in both], [b[1] for b in both]
+    return {id(r): (lo[i][0] + lo[i][1] + (w[i][0] + w[i][1]) / 2) / 2 for i, r in enumerate(runs)}
+
+
+def _span(df, vec) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest value of every feature."""
+    lo, hi = sum_rows(df, [vec], lambda x: (x.min(axis=0), x.max(axis=0)),
+                      lambda a, b: (np.minimum(a[0], b[0]), np.maximum(a[1], b[1])))
+    return lo, hi
 
 
 def _refill(df, code, vec, runs: list[_Run], p: int) -> None:
@@ -298,14 +314,16 @@ def fit_many(df: DataFrame, key: str, vec: str, specs: dict[str, Spec], max_iter
             else:
                 runs += [_Run(name, s, s.seed + 101 * i, np.zeros((0, d)), w) for i in range(s.n_init)]
         _seed_centers(data, "code", "v", runs, p)
+        span = _span(data, "v") if any(_uses_median(r) for r in runs) else None
         for _ in range(max_iter):
             active = [r for r in runs if not r.done]
             if not active:
                 break
-            _assign_stats(data, "v", active)
+            bins = _bins(active)
+            _assign_stats(data, "v", active, span, bins)
             holes = [r for r in active if (r.stats["n"] == 0).any()]
-            wide = [r for r in active if r.spec.enhanced and r.spec.outlier_handling]
-            medians = _medians(data, "v", wide) if wide else {}
+            wide = [r for r in active if _uses_median(r)]
+            medians = _medians(data, "v", wide, span, bins) if wide else {}
             old = {id(r): r.centers.copy() for r in active}
             for r in active:
                 n = r.stats["n"]
@@ -333,7 +351,7 @@ def fit_many(df: DataFrame, key: str, vec: str, specs: dict[str, Spec], max_iter
                 else:
                     r.done = np.linalg.norm(moved) < (1e-4 if tol is None else tol)
                 r.prev_cost = total
-        _assign_stats(data, "v", runs)
+        _assign_stats(data, "v", runs, None, 1)
         best: dict[str, KMeansModel] = {}
         for r in runs:
             r.inertia = float(r.stats["cost"].sum())
@@ -361,7 +379,7 @@ def enhanced_kmeans(df: DataFrame, key: str, vec: str, k: int, metric: str = "eu
 
 def nearest(vec: str, centers: np.ndarray) -> Column:
     """Index of the nearest center (lowest index on ties) as a built-in expression."""
-    d = F.array(*[F.struct(sq_dist(F.col(vec), literal_vector(c)).alias("d"), F.lit(j).alias("j"))
+    d = F.array(*[F.named_struct(F.lit("d"), sq_dist(F.col(vec), literal_vector(c)), F.lit("j"), F.lit(j))
                   for j, c in enumerate(centers)])
     return F.array_min(d)["j"]
 
@@ -403,7 +421,7 @@ def centers_frame(df: DataFrame, centers: np.ndarray) -> DataFrame:
 
 
 def inertia_by_cluster(df: DataFrame, vec: str, centers: np.ndarray) -> DataFrame:
-    d = F.array_min(F.array(*[F.struct(sq_dist(F.col(vec), literal_vector(c)).alias("d"), F.lit(j).alias("j"))
+    d = F.array_min(F.array(*[F.named_struct(F.lit("d"), sq_dist(F.col(vec), literal_vector(c)), F.lit("j"), F.lit(j))
                               for j, c in enumerate(centers)]))
     return df.select(d.alias("b")).groupBy(F.col("b.j").alias("cluster")).agg(
         F.count("*").alias("rows"), F.sum("b.d").alias("inertia"))
