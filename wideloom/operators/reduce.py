@@ -58,6 +58,18 @@ def gram(df: DataFrame, vec: str, pre: Callable[[np.ndarray], np.ndarray] | None
     return Gram(n, pilot + s / n, m2 - np.outer(s, s) / n)
 
 
+def gram_diagonal(df: DataFrame, vec: str) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and population variance per entry in one pass."""
+    head = np.array([r[0] for r in df.select(vec).take(64)], dtype=np.float64)
+    if head.size == 0:
+        raise ValueError("no rows to fit on")
+    pilot = head.mean(axis=0)
+    n, s, q = sum_rows(df, [vec], lambda x: (np.array([float(len(x))]), (x - pilot).sum(0), ((x - pilot) ** 2).sum(0)))
+    m = s / n
+    mean, var = pilot + m, np.maximum(q / n - m * m, 0)
+    return mean, np.where(var <= (1e-14 * np.abs(mean)) ** 2, 0.0, var)
+
+
 def gram_rows(df: DataFrame, vec: str) -> DataFrame:
     """Covariance matrix (upper triangle) as rows (i, j, cov)."""
     c = gram(df, vec).cov
