@@ -76,10 +76,12 @@ def f_tail(f: np.ndarray, d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
     return out
 
 
-@arrow_udf("double")
-def _f_tail_column(f: pa.Array, d1: pa.Array, d2: pa.Array) -> pa.Array:
-    cols = [c.to_numpy(zero_copy_only=False).astype(float) for c in (f, d1, d2)]
-    return pa.array(f_tail(*cols))
+def _f_tail_column(*cols) -> Column:
+    @arrow_udf("double")
+    def run(f: pa.Array, d1: pa.Array, d2: pa.Array) -> pa.Array:
+        return pa.array(f_tail(*[c.to_numpy(zero_copy_only=False).astype(float) for c in (f, d1, d2)]))
+
+    return run(*cols)
 
 
 def anova_f(long: DataFrame, feature: str, value: str, label: str, p_values: bool = False) -> DataFrame:

@@ -487,11 +487,11 @@ WITH t AS (SELECT event_id, value - 20 AS x FROM events)
 SELECT event_id,
   round(CASE WHEN x >= 0 THEN (pow(x + 1, 0.3) - 1) / 0.3 ELSE -(pow(1 - x, 1.7) - 1) / 1.7 END, 6) + 0.0 AS a,
   round(CASE WHEN x >= 0 THEN ln(1 + x) ELSE -(pow(1 - x, 2.0) - 1) / 2.0 END, 6) + 0.0 AS b,
-  round(CASE WHEN x >= 0 THEN (pow(x + 1, 2.0) - 1) / 2.0 ELSE -ln(1 - x) END, 4) + 0.0 AS c FROM t""")
+  round(CASE WHEN x >= 0 THEN (pow(x + 1, 2.0) - 1) / 2.0 ELSE -ln(1 - x) END, 6) + 0.0 AS c FROM t""")
 def _(spark, table):
     df = table("events").select("event_id", *[(F.col("value") - 20).alias(c) for c in "abc"])
     out = prep.yeo_johnson_fixed({"a": 0.3, "b": 0.0, "c": 2.0}).transform(df)
-    return rounded(rounded(out, "a", "b"), "c", digits=4)
+    return rounded(out, "a", "b", "c")
 
 
 @query("yeo_johnson_fit")

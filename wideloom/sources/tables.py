@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import IntegerType, NumericType, StructType
 
 from wideloom.functions import stats as S
 from wideloom.session import scratch_dir
@@ -87,7 +87,7 @@ def encode_labels(df: DataFrame, label: str, out: str = "code", max_classes: int
         raise ValueError(f"more than {max_classes} classes in {label!r}: not a label column")
     codes = df.sparkSession.createDataFrame(
         [(v, i) for i, v in enumerate(values)],
-        StructType([df.schema[label]]).add(out, "int"))
+        StructType([df.schema[label]]).add(out, IntegerType()))
     return df.join(F.broadcast(codes), label, "left")
 
 
