@@ -23,7 +23,9 @@ from wideloom.session import cores
 
 DIRECT = 64  # partial sums taken straight to the driver up to this many tasks
 
-PARTIAL = "slot int, shapes string, body binary"
+CHUNK = 1 << 18  # numbers per partial row: wide Gram matrices travel in 2 MB pieces
+
+PARTIAL = "slot int, chunk int, shapes string, body binary"
 
 
 def _column(batch: pa.RecordBatch, i: int) -> np.ndarray:
@@ -33,12 +35,13 @@ def _column(batch: pa.RecordBatch, i: int) -> np.ndarray:
     return col.to_numpy(zero_copy_only=False)
 
 
-def _pack(slot: int, arrays: Sequence[np.ndarray]) -> dict:
-    return {
-        "slot": slot,
-        "shapes": json.dumps([list(a.shape) for a in arrays]),
-        "body": np.concatenate([np.asarray(a, np.float64).ravel() for a in arrays]).tobytes(),
-    }
+def _pack(slot: int, arrays: Sequence[np.ndarray], whole: bool) -> dict[str, list]:
+    flat = np.concatenate([np.asarray(a, np.float64).ravel() for a in arrays])
+    step = max(1, len(flat)) if whole else CHUNK
+    bodies = [flat[i:i + step].tobytes() for i in range(0, max(1, len(flat)), step)]
+    shapes = json.dumps([list(a.shape) for a in arrays])
+    return {"slot": [slot] * len(bodies), "chunk": list(range(len(bodies))), "shapes": [shapes] * len(bodies),
+            "body": bodies}
 
 
 def _unpack(shapes: str, body: bytes) -> list[np.ndarray]:
@@ -50,6 +53,14 @@ def _unpack(shapes: str, body: bytes) -> list[np.ndarray]:
     return out
 
 
+def _sum_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.frombuffer(pdf["body"].iloc[0], np.float64).copy()
+    for body in pdf["body"].iloc[1:]:
+        total += np.frombuffer(body, np.float64)
+    return pd.DataFrame({"slot": [int(pdf["slot"].iloc[0])], "chunk": [int(pdf["chunk"].iloc[0])],
+                         "shapes": [pdf["shapes"].iloc[0]], "body": [total.tobytes()]})
+
+
 Arrays = Sequence[np.ndarray]
 
 
@@ -73,6 +84,7 @@ def sum_rows(
     """
     tasks = 2 * cores(df.sparkSession)
     fan = max(1, math.isqrt(tasks))
+    whole = merge is not add  # only element-wise sums may travel in pieces
 
     def fold(batches):
         total = None
@@ -82,26 +94,38 @@ def sum_rows(
             part = [np.asarray(a, np.float64) for a in fn(*[_column(batch, i) for i in range(len(columns))])]
             total = part if total is None else merge(total, part)
         if total is not None:
-            row = _pack(TaskContext.get().partitionId() % fan, total)
-            yield pa.RecordBatch.from_pydict(
-                {k: [v] for k, v in row.items()},
-                schema=pa.schema([("slot", pa.int32()), ("shapes", pa.string()), ("body", pa.binary())]))
+            rows = _pack(TaskContext.get().partitionId() % fan, total, whole)
+            for i in range(len(rows["body"])):
+                yield pa.RecordBatch.from_pydict({k: [v[i]] for k, v in rows.items()}, schema=SCHEMA)
 
     def merge_slot(pdf: pd.DataFrame) -> pd.DataFrame:
         total = None
         for shapes, body in zip(pdf["shapes"], pdf["body"]):
             part = _unpack(shapes, body)
             total = part if total is None else merge(total, part)
-        return pd.DataFrame([_pack(int(pdf["slot"].iloc[0]), total)])
+        return pd.DataFrame(_pack(int(pdf["slot"].iloc[0]), total, True))
 
     partial = df.select(*columns).coalesce(tasks).mapInArrow(fold, PARTIAL)
     if tasks > DIRECT:
-        partial = partial.groupBy("slot").applyInPandas(merge_slot, PARTIAL)
-    total: list[np.ndarray] | None = None
-    for row in (partial.toLocalIterator() if tasks > DIRECT else partial.collect()):
-        part = _unpack(row["shapes"], row["body"])
-        total = part if total is None else merge(total, part)
-    if total is None:
+        partial = partial.groupBy("slot").applyInPandas(merge_slot, PARTIAL) if whole else \
+            partial.groupBy("slot", "chunk").applyInPandas(_sum_chunk, PARTIAL)
+    rows = partial.toLocalIterator() if tasks > DIRECT else partial.collect()
+    if whole:
+        total = None
+        for row in rows:
+            part = _unpack(row["shapes"], row["body"])
+            total = part if total is None else merge(total, part)
+        if total is None:
+            raise ValueError("no rows to sum")
+        return list(total)
+    pieces: dict[int, np.ndarray] = {}
+    shapes = None
+    for row in rows:
+        shapes, body = row["shapes"], np.frombuffer(row["body"], np.float64)
+        pieces[row["chunk"]] = pieces[row["chunk"]] + body if row["chunk"] in pieces else body
+    if shapes is None:
         raise ValueError("no rows to sum")
-    return total
+    return _unpack(shapes, np.concatenate([pieces[i] for i in range(len(pieces))]).tobytes())
+
 
+SCHEMA = pa.schema([("slot", pa.int32()), ("chunk", pa.int32()), ("shapes", pa.string()), ("body", pa.binary())])

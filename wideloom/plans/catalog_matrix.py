@@ -112,13 +112,13 @@ def _(spark, table):
 
 def _poly(name, interaction_only):
     terms = FT.poly_terms(4, 2, interaction_only)
-    exprs = ", ".join(f"round({' * '.join(LI[t] for t in term)}, 3) + 0.0 AS \"{'*'.join(LI[t] for t in term)}\"" for term in terms)
+    exprs = ", ".join(f"round({' * '.join(LI[t] for t in term)}, 4) + 0.0 AS \"{'*'.join(LI[t] for t in term)}\"" for term in terms)
 
     @query(name, f"SELECT {LI_ID.replace('l_orderkey', 'l_orderkey AS k1').replace('l_linenumber', 'l_linenumber AS k2')}, {exprs} FROM lineitem")
     def _(spark, table):
         out = FT.polynomial_columns(LI, 2, interaction_only)
         return table("lineitem").select(F.col("l_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"), "l_partkey",
-                                        "l_suppkey", *[rnd(e, 3).alias(n) for n, e in out.items()])
+                                        "l_suppkey", *[rnd(e, 4).alias(n) for n, e in out.items()])
 
 
 _poly("polynomial_features", False)
@@ -310,10 +310,11 @@ _frames("default_steps", 10, lambda df: ST.run_steps(df, "vec_id", "v", componen
 _frames("step_chain", 5, lambda df: ST.run_steps(df, "vec_id", "v", [
     {"name": "scaling", "type": "robust"}, {"name": "select_percentile", "percentile": 50},
     {"name": "feature_agglomeration", "n_clusters": 12}, {"name": "truncated_svd", "n_components": 5}], "label"))
-_frames("ensemble_reduction", 10, lambda df: ST.ensemble_reduction(df, "vec_id", "v", 10))
+_frames("ensemble_reduction", 10, lambda df: ST.ensemble_reduction(df, "vec_id", "v", 10, 50))
 _frames("auto_features", 20, lambda df: ST.auto_features(df, "vec_id", "v", 20))
 _frames("clustering_features", 10, lambda df: ST.clustering_features(df, "vec_id", "v", 10, True))
-_frames("combined_features", 10, lambda df: ST.combined_features(df, "vec_id", "v", 10, [(i, i + 32) for i in range(32)]))
+_frames("combined_features", 10, lambda df: ST.combined_features(
+    df.withColumn("v", F.slice("v", 1, 24)), "vec_id", "v", 10, [(i, i + 12) for i in range(12)]))
 
 
 @query("reduction_views")

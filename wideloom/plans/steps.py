@@ -119,9 +119,10 @@ def side_by_side(df: DataFrame, vec: str, models: Sequence, out: str) -> DataFra
     return df.withColumn(out, FT.concat_blocks(*parts)).drop(*parts)
 
 
-def ensemble_reduction(df: DataFrame, key: str, vec: str, k: int = 20) -> DataFrame:
+def ensemble_reduction(df: DataFrame, key: str, vec: str, k: int = 20, ica_rounds: int = 200) -> DataFrame:
     """Whitened PCA, kernel PCA and ICA side by side, then whitened PCA."""
-    both = side_by_side(df, vec, [R.pca(df, vec, k, True), R.kernel_pca(df, key, vec, k), R.ica(df, vec, k)], vec)
+    both = side_by_side(df, vec, [R.pca(df, vec, k, True), R.kernel_pca(df, key, vec, k),
+                                  R.ica(df, vec, k, ica_rounds)], vec)
     return R.pca(both, vec, k, True).transform(both, vec, vec)
 
 
