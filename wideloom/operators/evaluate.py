@@ -12,8 +12,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+
+from wideloom.functions.moments import class_moments
+from wideloom.functions.vectors import to_matrix
 
 METRICS = ("accuracy", "precision", "recall", "f1", "ari", "nmi")
 
@@ -26,13 +31,16 @@ def contingency(df: DataFrame, label: str, cluster: str, by: Sequence[str] = ())
 def _margins(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     a = cells.groupBy(*by, "label").agg(F.sum("rows").alias("a"))
     b = cells.groupBy(*by, "cluster").agg(F.sum("rows").alias("b"))
-    n = cells.groupBy(*by).agg(F.sum("rows").alias("n")) if by else cells.agg(F.sum("rows").alias("n"))
+    n = cells.groupBy(*by).agg(F.sum("rows").alias("n"))
     out = cells.join(a, [*by, "label"]).join(b, [*by, "cluster"])
-    return out.join(F.broadcast(n), list(by)) if by else out.crossJoin(F.broadcast(n))
+    return out.join(n, list(by))
 
 
 def agreement(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Adjusted Rand index and NMI (arithmetic mean) of each run."""
+    if not by:
+        return agreement(cells.withColumn("_run", F.lit(0)), ["_run"]).drop("_run")
+
     def pairs(c: Column) -> Column:
         c = c.cast("double")
         return c * (c - 1) / 2
@@ -75,7 +83,7 @@ def align(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         return align(cells.withColumn("_run", F.lit(0)), ["_run"]).drop("_run")
     by = list(by)
     sizes = cells.groupBy(*by).agg(F.count_distinct("label").alias("kc"), F.count_distinct("cluster").alias("kk"))
-    tagged = cells.join(F.broadcast(sizes), by)
+    tagged = cells.join(sizes, by)
     small = (F.col("kk") <= F.col("kc")) & (F.col("kk") <= 8)
     label_t, cluster_t = dict(cells.dtypes)["label"], dict(cells.dtypes)["cluster"]
     key_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in cells.schema.fields if f.name in by)
@@ -181,8 +189,8 @@ def score_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
     sizes = cells.groupBy(*by).agg(
         ((F.count_distinct("label") == 2) & (F.count_distinct("cluster") == 2)).alias("binary"))
-    mapped = cells.join(F.broadcast(align(cells, by)), [*by, "cluster"])
-    mapped = mapped.join(F.broadcast(sizes), by)
+    mapped = cells.join(align(cells, by), [*by, "cluster"])
+    mapped = mapped.join(sizes, by)
     return classification(mapped, by).join(agreement(cells, by), by)
 
 
@@ -214,9 +222,9 @@ def sensitivity_specificity(cells: DataFrame) -> DataFrame:
         F.struct(F.col("mapped").alias("c"), F.lit(0).alias("support"), F.col("rows").alias("guess"),
                  F.lit(0).alias("hit")))).alias("x")).groupBy("x.c").agg(
         F.sum("x.support").alias("support"), F.sum("x.guess").alias("guess"), F.sum("x.hit").alias("hit"))
-    n = cells.agg(F.sum("rows").alias("n"))
-    neg = F.nullif((F.col("n") - F.col("support")).cast("double"), F.lit(0.0))
-    return per.crossJoin(F.broadcast(n)).select(
+    n = cells.agg(F.sum("rows")).scalar()
+    neg = F.nullif((n - F.col("support")).cast("double"), F.lit(0.0))
+    return per.select(
         F.col("c").alias("label"),
         F.coalesce(F.col("hit") / F.nullif(F.col("support").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("sensitivity"),
         F.coalesce(1 - (F.col("guess") - F.col("hit")) / neg, F.lit(0.0)).alias("specificity"))
@@ -224,40 +232,64 @@ def sensitivity_specificity(cells: DataFrame) -> DataFrame:
 
 def row_normalised(cells: DataFrame) -> DataFrame:
     total = cells.groupBy("label").agg(F.sum("rows").alias("total"))
-    return cells.join(F.broadcast(total), "label").select(
+    return cells.join(total, "label").select(
         "label", "cluster", "rows", (F.col("rows") / F.col("total").cast("double")).alias("share"))
 
 
+MAX_SUMMARY = 5_000_000  # numbers in the cluster summary that silhouette sends to tasks
+
+
 def silhouette(df: DataFrame, vec: str, cluster: str, by: Sequence[str] = ()) -> DataFrame:
     """Mean silhouette of each run with squared Euclidean distance, exact over all rows.
 
-    The sum of squared distances from x to a cluster is
-    ``n |x|^2 - 2 x.S + Q`` with the cluster's count, vector sum and sum of squared norms,
-    so no pair of rows is ever formed.
+    The sum of squared distances from x to a cluster is ``n |x|^2 - 2 x.S + Q`` with the
+    cluster's count, vector sum S and sum of squared norms Q, so no pair of rows is ever
+    formed.  Vectors of one run must have one width.
     """
+    if not by:
+        return silhouette(df.withColumn("_run", F.lit(0)), vec, cluster, ["_run"]).drop("_run")
     by = list(by)
-    sq = F.aggregate(F.transform(vec, lambda v: v * v), F.lit(0.0), lambda s, v: s + v)
-    base = df.where(F.col(cluster).isNotNull()).select(*by, F.col(cluster).alias("k"), F.col(vec).alias("v"), sq.alias("q"))
-    sums = base.select(*by, "k", "q", F.posexplode("v").alias("i", "x")).groupBy(*by, "k", "i").agg(
-        F.sum("x").alias("s"), F.count("*").alias("n"), F.sum("q").alias("qs"))
-    per = sums.groupBy(*by, "k").agg(
-        F.max("n").alias("n"), F.max(F.when(F.col("i") == 0, F.col("qs"))).alias("qs"),
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda e: e["s"]).alias("s"))
-    packed = per.groupBy(*by).agg(F.collect_list(F.struct("k", "n", "qs", "s")).alias("clusters"))
-    j = base.join(F.broadcast(packed), by) if by else base.crossJoin(F.broadcast(packed))
-
-    def mean_to(c, own: bool):
-        dot = F.aggregate(F.zip_with("v", c["s"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        n = c["n"].cast("double")
-        total = n * F.col("q") - 2 * dot + c["qs"]
-        return total / F.nullif(n - 1, F.lit(0.0)) if own else total / n
-
-    a = F.element_at(F.transform(F.filter("clusters", lambda c: c["k"] == F.col("k")), lambda c: mean_to(c, True)), 1)
-    b = F.array_min(F.transform(F.filter("clusters", lambda c: c["k"] != F.col("k")), lambda c: mean_to(c, False)))
-    s = j.select(*by, a.alias("a"), b.alias("b")).withColumn(
-        "sil", F.when(F.col("a").isNull(), F.lit(0.0)).otherwise(
-            (F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0))))
-    return s.groupBy(*by).agg(F.avg(F.coalesce("sil", F.when(F.col("b").isNotNull(), F.lit(0.0)))).alias("silhouette"))
+    base = df.where(F.col(cluster).isNotNull()).select(*by, F.col(cluster).alias("k"), F.col(vec).alias("v"))
+    m = class_moments(base.withColumn("_width", F.size("v")), "v", [*by, "k", "_width"])
+    size = m.agg(F.sum("_width").alias("s")).first()["s"] or 0
+    if size > MAX_SUMMARY:
+        raise ValueError(f"cluster summary of {size} numbers is too large to send to every task")
+    stats: dict[tuple, dict] = {}
+    for r in m.collect():
+        n, mean, var = float(r["n"]), np.array(r["mean"]), np.array(r["var"])
+        run = stats.setdefault(tuple(r[c] for c in by), {"k": [], "n": [], "s": [], "q": []})
+        run["k"].append(r["k"])
+        run["n"].append(n)
+        run["s"].append(n * mean)
+        run["q"].append(n * float((var + mean * mean).sum()))
+    runs = [{"n": np.array(s["n"]), "s": np.array(s["s"]), "q": np.array(s["q"])} for s in stats.values()]
+    ids = [(*key, k, g, i) for g, (key, s) in enumerate(stats.items()) for i, k in enumerate(s["k"])]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:-1])
+    numbers = df.sparkSession.createDataFrame(ids, f"{types}, g int, j int")
+
+    @arrow_udf("double")
+    def row_score(v: pa.Array, g: pa.Array, j: pa.Array) -> pa.Array:
+        g, j = g.to_numpy(zero_copy_only=False), j.to_numpy(zero_copy_only=False)
+        out = np.zeros(len(g))
+        for run in np.unique(g):
+            at = np.flatnonzero(g == run)
+            x, c, own = to_matrix(v.take(pa.array(at))), runs[run], j[at]
+            total = (x * x).sum(1)[:, None] * c["n"] - 2 * (x @ c["s"].T) + c["q"]
+            rows = np.arange(len(at))
+            a = total[rows, own] / np.maximum(c["n"][own] - 1, 1)
+            other = np.maximum(total / c["n"], 0)
+            other[rows, own] = np.inf
+            b = other.min(axis=1)
+            top = np.maximum(a, b)
+            ok = (c["n"][own] > 1) & np.isfinite(b) & (top > 0)
+            out[at] = np.where(ok, (np.where(np.isfinite(b), b, 0) - a) / np.where(ok, top, 1), 0.0)
+        return pa.array(out)
+
+    several = [len(s["k"]) > 1 for s in stats.values()]
+    scored = base.join(F.broadcast(numbers), [*by, "k"]).select(*by, "g", row_score("v", "g", "j").alias("sil"))
+    mean = F.avg("sil")
+    defined = F.array(*[F.lit(s) for s in several])[F.first("g")]
+    return scored.groupBy(*by).agg(F.when(defined, mean).alias("silhouette"))
 
 
 # ---- result tables -------------------------------------------------------------------

@@ -12,13 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from wideloom.functions import stats as S
+from wideloom.functions.moments import class_moments, moments_long
+from wideloom.functions.vectors import matrix_column
 from wideloom.operators.prep import _stats
 from wideloom.operators.reduce import Gram, Projection, gram, pca_from_gram, poly_terms
-
-
-def as_long(df: DataFrame, vec: str, *keep: str) -> DataFrame:
-    """(keep..., i, x): one row per vector entry, for map-side combined aggregates."""
-    return df.select(*keep, F.posexplode(vec).alias("i", "x"))
+from wideloom.operators.rowsums import sum_rows
 
 
 def take(vec: str, index: Sequence[int]) -> Column:
@@ -34,7 +32,7 @@ def concat_blocks(*vecs: str) -> Column:
 # ---- unsupervised scores --------------------------------------------------------------
 
 def variances(df: DataFrame, vec: str) -> DataFrame:
-    return as_long(df, vec).groupBy("i").agg(F.var_pop("x").alias("variance"))
+    return moments_long(df, vec).select("i", F.col("var").alias("variance"))
 
 
 def variance_threshold(df: DataFrame, vec: str, threshold: float = 0.01) -> list[int]:
@@ -84,49 +82,64 @@ def _f_tail_column(*cols) -> Column:
     return run(*cols)
 
 
-def anova_f(long: DataFrame, feature: str, value: str, label: str, p_values: bool = False) -> DataFrame:
-    """One-way ANOVA F per feature from class counts, means and variances."""
-    per = long.where(F.col(value).isNotNull()).groupBy(feature, label).agg(
-        F.count("*").cast("double").alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v"))
-    tot = per.groupBy(feature).agg(
+def anova_f(df: DataFrame, vec: str, label: str, p_values: bool = False) -> DataFrame:
+    """(i, f): one-way ANOVA per feature from class counts, means and variances."""
+    per = moments_long(df, vec, [label]).select(
+        "i", F.col("n").cast("double").alias("n"), F.col("mean").alias("m"), F.col("var").alias("v"))
+    tot = per.groupBy("i").agg(
         F.sum("n").alias("n"), F.count("*").cast("double").alias("k"),
         F.sum(F.col("n") * F.col("m")).alias("s"), F.sum(F.col("n") * F.col("v")).alias("within"))
-    j = per.select(feature, F.col("n").alias("nc"), F.col("m").alias("mc")).join(tot, feature)
+    j = per.select("i", F.col("n").alias("nc"), F.col("m").alias("mc")).join(tot, "i")
     d = F.col("mc") - F.col("s") / F.col("n")
-    b = j.groupBy(feature, "n", "k", "within").agg(F.sum(F.col("nc") * d * d).alias("between"))
+    b = j.groupBy("i", "n", "k", "within").agg(F.sum(F.col("nc") * d * d).alias("between"))
     out = b.withColumn("f", S.ratio(F.col("between") / (F.col("k") - 1), F.col("within") / (F.col("n") - F.col("k"))))
     if p_values:
-        return out.withColumn("p_value", _f_tail_column("f", F.col("k") - 1, F.col("n") - F.col("k"))).select(
-            feature, "f", "p_value")
-    return out.select(feature, "f")
+        out = out.withColumn("p_value", _f_tail_column("f", F.col("k") - 1, F.col("n") - F.col("k")))
+    return out.select("i", "f", *(["p_value"] if p_values else []))
 
 
 def chi2(df: DataFrame, vec: str, label: str) -> DataFrame:
     """Chi-squared of class-wise feature sums against the class shares; the whole table is
     shifted to be non-negative first."""
-    low = df.agg(F.least(F.min(F.array_min(vec)), F.lit(0.0)).alias("low"))
-    base = df.crossJoin(F.broadcast(low))
-    obs = as_long(base, vec, label, "low").groupBy("i", label).agg(
-        F.sum(F.col("x") - F.col("low")).alias("obs"), F.count("*").cast("double").alias("n"))
+    per = moments_long(df, vec, [label])
+    low = per.agg(F.least(F.min("min"), F.lit(0.0))).scalar()
+    obs = per.select("i", F.col("n").cast("double").alias("n"), (F.col("n") * (F.col("mean") - low)).alias("obs"))
     tot = obs.groupBy("i").agg(F.sum("obs").alias("total"), F.sum("n").alias("rows"))
     e = F.col("n") / F.col("rows") * F.col("total")
     return obs.join(tot, "i").groupBy("i").agg(
         F.sum((F.col("obs") - e) * (F.col("obs") - e) / F.nullif(e, F.lit(0.0))).alias("chi2"))
 
 
+MAX_CLASSES = 10_000
+
+
+def class_codes(df: DataFrame, label: str) -> tuple[list, Column]:
+    """Sorted classes and the 0-based class number as a column expression."""
+    classes = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect())
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}: not a class label")
+    return classes, F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
+
+
 def binned_mutual_information(df: DataFrame, vec: str, label: str, bins: int = 10) -> DataFrame:
-    """Mutual information (nats) of each feature, cut into equal-width bins, with the label."""
-    ends = as_long(df, vec).groupBy("i").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    long = as_long(df, vec, label).join(F.broadcast(ends), "i")
-    w = (F.col("hi") - F.col("lo")) / bins
-    b = F.coalesce(F.least(F.floor(S.ratio(F.col("x") - F.col("lo"), w)), F.lit(bins - 1)), F.lit(0)).cast("int")
-    cells = long.groupBy("i", b.alias("b"), F.col(label).alias("y")).agg(F.count("*").cast("double").alias("n"))
-    row = cells.groupBy("i", "b").agg(F.sum("n").alias("nb"))
-    col = cells.groupBy("i", "y").agg(F.sum("n").alias("ny"))
-    tot = cells.groupBy("i").agg(F.sum("n").alias("t"))
-    j = cells.join(row, ["i", "b"]).join(col, ["i", "y"]).join(F.broadcast(tot), "i")
-    return j.groupBy("i").agg(F.sum(
-        F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("nb") * F.col("ny")))).alias("mi"))
+    """(i, mi): mutual information in nats of each feature, cut into equal-width bins, with
+    the label.  One pass sums the (feature, bin, class) counts."""
+    ends = class_moments(df, vec).first()
+    lo, hi = np.array(ends["min"]), np.array(ends["max"])
+    w = np.where(hi > lo, (hi - lo) / bins, 1.0)
+    classes, code = class_codes(df, label)
+    p, k = len(lo), len(classes)
+
+    def part(x, y):
+        b = np.minimum(np.floor((x - lo) / w), bins - 1).astype(np.int64)
+        flat = (np.arange(p)[None, :] * bins + b) * k + y.astype(np.int64)[:, None]
+        return [np.bincount(flat.ravel(), minlength=p * bins * k).reshape(p, bins, k)]
+
+    n = sum_rows(df.where(F.col(label).isNotNull()).select(F.col(vec).alias("v"), code.alias("y")), ["v", "y"], part)[0]
+    total = n.sum(axis=(1, 2), keepdims=True)
+    expected = n.sum(axis=2, keepdims=True) * n.sum(axis=1, keepdims=True)
+    mi = np.where(n > 0, n / total * np.log(np.where(n > 0, n * total, 1) / np.where(n > 0, expected, 1)), 0).sum(axis=(1, 2))
+    return df.sparkSession.createDataFrame([(i, float(m)) for i, m in enumerate(mi)], "i int, mi double")
 
 
 def k_best(scores: DataFrame, score: str, k: int, index: str = "i") -> list[int]:
@@ -182,12 +195,12 @@ def pair_products(df: DataFrame, vec: str, label: str, index: Sequence[int], top
                   ) -> DataFrame:
     """F statistic of the product of every pair of the given features; the best pairs."""
     index = [int(i) for i in index]
-    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), (F.col(vec)[a] * F.col(vec)[b]).alias("x"))
-             for n, a in enumerate(index) for b in index[n + 1:]]
-    long = df.select(label, F.explode(F.array(*pairs)).alias("p")).select(
-        label, F.struct("p.a", "p.b").alias("pair"), "p.x")
-    scores = anova_f(long, "pair", "x", label, p_values)
-    return scores.select("pair.a", "pair.b", *scores.columns[1:]).orderBy(F.desc("f"), "a", "b").limit(top)
+    a = np.array([x for n, x in enumerate(index) for _ in index[n + 1:]])
+    b = np.array([y for n, _ in enumerate(index) for y in index[n + 1:]])
+    products = df.select(label, matrix_column(lambda x: x[:, a] * x[:, b], vec).alias("products"))
+    name = [F.array(*[F.lit(int(v)) for v in side])[F.col("i")] for side in (a, b)]
+    scores = anova_f(products, "products", label, p_values).select(name[0].alias("a"), name[1].alias("b"), "*").drop("i")
+    return scores.orderBy(F.desc("f"), "a", "b").limit(top)
 
 
 def discriminative_pairs(df: DataFrame, vec: str, label: str, base: int = 20, top: int = 10, trees: int = 100

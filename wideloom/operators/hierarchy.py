@@ -66,15 +66,18 @@ def merge_tree(dist: np.ndarray, sizes: np.ndarray, k: int, linkage: str) -> np.
 def micro_clusters(df: DataFrame, key: str, vec: str, m: int, rounds: int = 5) -> tuple[KMeansModel, np.ndarray, bool]:
     """At most ``m`` centers standing for all rows, with their sizes, in order of the
     smallest key they hold.  Exact (one center per distinct row) when m rows suffice."""
-    distinct = df.groupBy(F.col(vec).alias("v")).agg(F.min(key).alias("key"))
-    few = distinct.orderBy("key").limit(m + 1).collect()
-    exact = len(few) <= m
+    # A sketch decides first, so a large table is not shuffled by vector just to learn that
+    # it does not fit.
+    guess = df.agg(F.approx_count_distinct(F.xxhash64(vec), 0.02).alias("n")).first()["n"]
+    exact = False
+    if guess <= 1.2 * m + 10:
+        few = df.groupBy(F.col(vec).alias("v")).agg(F.min(key).alias("key")).orderBy("key").limit(m + 1).collect()
+        exact = len(few) <= m
     if exact:
-        centers = np.array([r["v"] for r in few], float)
-        model = KMeansModel(centers)
+        model = KMeansModel(np.array([r["v"] for r in few], float))
     else:
-        start = landmarks(distinct, "key", "v", m)
-        model = fit_many(df, key, vec, {"m": Spec(m, 1, init=start)}, rounds)["m"]
+        start = np.unique(landmarks(df, key, vec, m), axis=0)
+        model = fit_many(df, key, vec, {"m": Spec(len(start), 1, init=start)}, rounds)["m"]
     size = sum_rows(df, [vec], lambda x: [np.bincount(model.distances(x).argmin(axis=1), minlength=len(model.centers)
                                                      ).astype(float)])[0]
     keep = size > 0

@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wideloom.functions.moments import class_moments, moments_long
 from wideloom.functions.vectors import literal_vector, scalar_column, sq_dist
 from wideloom.operators.quantiles import exact_quantiles
 from wideloom.operators.rowsums import keep_smallest, sum_rows
@@ -386,11 +387,9 @@ def nearest(vec: str, centers: np.ndarray) -> Column:
 
 def lloyd_step(df: DataFrame, vec: str, centers: np.ndarray) -> np.ndarray:
     """Assign and average once; an empty cluster keeps its center."""
-    rows = df.select(nearest(vec, centers).alias("j"), F.posexplode(vec).alias("i", "x")).groupBy("j", "i").agg(
-        F.avg("x").alias("m")).collect()
     out = np.array(centers, float)
-    for r in rows:
-        out[r["j"], r["i"]] = r["m"]
+    for r in class_moments(df.select(nearest(vec, centers).alias("j"), vec), vec, ["j"]).select("j", "mean").collect():
+        out[r["j"]] = r["mean"]
     return out
 
 
@@ -430,8 +429,6 @@ def inertia_by_cluster(df: DataFrame, vec: str, centers: np.ndarray) -> DataFram
 def cluster_importance(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     """Feature weights: sum over clusters of 1 / (population variance + 1e-10), normalised.
     Clusters of one row do not count."""
-    per = df.select(F.col(cluster).alias("c"), F.posexplode(vec).alias("i", "x")).groupBy("c", "i").agg(
-        F.var_pop("x").alias("v"), F.count("*").alias("n")).where("n > 1")
-    raw = per.groupBy("i").agg(F.sum(1 / (F.col("v") + 1e-10)).alias("w"))
-    return raw.crossJoin(F.broadcast(raw.agg(F.sum("w").alias("t")))).select(
-        "i", (F.col("w") / F.col("t")).alias("importance"))
+    per = moments_long(df, vec, [cluster]).where("n > 1")
+    raw = per.groupBy("i").agg(F.sum(1 / (F.col("var") + 1e-10)).alias("w"))
+    return raw.select("i", (F.col("w") / raw.agg(F.sum("w")).scalar()).alias("importance"))

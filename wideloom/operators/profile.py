@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wideloom.functions import stats as S
+from wideloom.functions.moments import moments_long
 from wideloom.operators.quantiles import exact_quantiles
 from wideloom.operators.ranks import cumulative, melt
 
@@ -214,7 +215,7 @@ def preprocessing_advice(df: DataFrame, cols: Sequence[str], outlier_cols: int =
         F.array_join(F.sort_array(F.collect_list(F.when(F.col("bucket") == "moderate", F.col("feature")))), ",")
         .alias("moderately_skewed"))
     out = iqr_outliers(df, list(cols)[:outlier_cols]).agg((F.sum("outliers") > 0).alias("has_outliers"))
-    return skew.crossJoin(F.broadcast(out)).withColumn(
+    return skew.withColumn("has_outliers", out.scalar()).withColumn(
         "scaler", F.when(F.col("has_outliers"), "robust").otherwise("standard"))
 
 
@@ -272,10 +273,10 @@ def region(df: DataFrame, x: Column, y: Column, low: float, high: float) -> Data
 
 def component_distribution(df: DataFrame, vec: str, label: str, components: int = 6) -> DataFrame:
     """Moments of the first components per class."""
-    long = df.select(F.col(label).alias("label"), F.posexplode(F.slice(vec, 1, components)).alias("component", "v"))
-    return long.groupBy("label", "component").agg(
-        F.count("*").alias("rows"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
+    first = df.select(F.col(label).alias("label"), F.slice(vec, 1, components).alias("v"))
+    return moments_long(first, "v", ["label"]).select(
+        "label", F.col("i").alias("component"), F.col("n").alias("rows"), "mean",
+        F.sqrt(F.col("var") * F.col("n") / F.nullif(F.col("n") - 1, F.lit(0))).alias("std"), "min", "max")
 
 
 def class_sample(df: DataFrame, key: str, label: str, per_class: int, classes: Sequence) -> DataFrame:
@@ -316,7 +317,7 @@ def kde(df: DataFrame, dims: Sequence[Column], grids: Sequence[Sequence[float]],
                        (F.col("vx") / det / h2).alias("i22"),
                        (1 / (2 * math.pi * F.sqrt(det) * h2)).alias("norm"))
     points = list(itertools.product(*grids))
-    j = df.select(F.col(by), x.alias("x"), y.alias("y")).join(F.broadcast(st), by)
+    j = df.select(F.col(by), x.alias("x"), y.alias("y")).join(st, by)
     out = []
     for at in range(0, len(points), CHUNK):
         part = points[at:at + CHUNK]

@@ -28,11 +28,9 @@ def cumulative(
         *[e.alias(n) for n, e in counts.items()])
     buckets = buckets or max(8, 2 * cores(df.sparkSession))
     cuts = [i / buckets for i in range(1, buckets)]
-    group = keys or [F.lit(1).alias("one")]
-    bounds = distinct.groupBy(*group).agg(
-        F.percentile_approx(value, cuts, 1000).alias("bounds"))
-    joined = distinct.join(F.broadcast(bounds), keys, "left") if keys else \
-        distinct.crossJoin(F.broadcast(bounds.drop("one")))
+    bounds = distinct.groupBy(*keys).agg(F.percentile_approx(value, cuts, 1000).alias("bounds"))
+    # One array of cuts per key, and keys are feature names or runs: small by construction.
+    joined = distinct.join(F.broadcast(bounds), keys) if keys else distinct.withColumn("bounds", bounds.scalar())
     cut = joined.withColumn(
         "bucket", F.size(F.filter("bounds", lambda b: b < F.col(value)))).drop("bounds")
     totals = cut.groupBy(*keys, "bucket").agg(*[F.sum(n).alias(f"sum_{n}") for n in counts])

@@ -39,13 +39,13 @@ f AS (SELECT {key}, (sum(c.n * (m - g) ** 2) / (any_value(k) - 1)) / (any_value(
 
 @query("anova_f", ANOVA.format(key="i", src=EMB_LONG) + "SELECT CAST(i AS INTEGER) AS i, round(f, 6) + 0.0 AS f FROM f")
 def _(spark, table):
-    return rounded(FT.anova_f(FT.as_long(embeddings(table), "v", "label"), "i", "x", "label"), "f")
+    return rounded(FT.anova_f(embeddings(table), "v", "label"), "f")
 
 
 @query("anova_k_best", ANOVA.format(key="i", src=EMB_LONG) +
        "SELECT CAST(i AS INTEGER) AS i FROM f ORDER BY f DESC, i LIMIT 10")
 def _(spark, table):
-    scores = FT.anova_f(FT.as_long(embeddings(table), "v", "label"), "i", "x", "label")
+    scores = FT.anova_f(embeddings(table), "v", "label")
     return scores.where(F.col("i").isin(FT.k_best(scores, "f", 10))).select("i")
 
 

@@ -313,8 +313,8 @@ def embedding_parameter_table(df: DataFrame, key: str, vec: str, label: str, com
     """Score per picture-embedding setting.  The labels always come from the whitened
     components, so the fit is done once and every setting shares its scores."""
     _, scores = whitened_kmeans(df, key, vec, label, components, k, n_init)
-    names = df.sparkSession.createDataFrame([(i, p) for i, p in enumerate(parameters)], "position int, setting string")
-    return names.crossJoin(F.broadcast(scores))
+    settings = F.posexplode(F.array(*[F.lit(p) for p in parameters])).alias("position", "setting")
+    return scores.select(settings, *E.METRICS)
 
 
 def prepare_select_reduce(df: DataFrame, cols: Sequence[str], key: str, label: str, k: int, components: int = 20,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, NumericType, StructType
 
-from wideloom.functions import stats as S
+from wideloom.operators.prep import impute
 from wideloom.session import scratch_dir
 
 
@@ -63,9 +63,8 @@ def labelled_table(df: DataFrame, label: str, mapping: dict, spec: FeatureSpec,
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows and percentage per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("rows"))
-    total = counts.agg(F.sum("rows").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        label, "rows", (100.0 * F.col("rows") / F.col("total")).alias("percent"))
+    total = counts.agg(F.sum("rows")).scalar()
+    return counts.select(label, "rows", (100.0 * F.col("rows") / total).alias("percent"))
 
 
 def coerced_table(df: DataFrame, label: str, exclude: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -73,10 +72,8 @@ def coerced_table(df: DataFrame, label: str, exclude: Sequence[str], keep: Seque
     take the column mean."""
     features = [f.name for f in df.schema.fields if f.name not in {label, *exclude, *keep}]
     text = df.select(*keep, F.col(label), *[F.col(c).cast("string").try_cast("double").alias(c) for c in features])
-    mean = text.agg(*[F.avg(S.clean(F.col(c))).alias(f"mean_{c}") for c in features])
-    out = text.crossJoin(F.broadcast(mean))
-    return out.select(*keep, F.col(label), *[
-        F.coalesce(S.clean(F.col(c)), F.col(f"mean_{c}")).alias(c) for c in features])
+    fill = impute(text, features, "mean")
+    return fill.transform(text).select(*keep, F.col(label), *features)
 
 
 def encode_labels(df: DataFrame, label: str, out: str = "code", max_classes: int = 100_000) -> DataFrame:
