@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from wideloom.functions import stats as S
 from wideloom.functions.moments import moments_long
+from wideloom.functions.vectors import pack
 from wideloom.operators.quantiles import exact_quantiles
 from wideloom.operators.ranks import cumulative, melt
+from wideloom.operators.reduce import gram
 
 CHUNK = 300
 
@@ -173,6 +175,12 @@ def correlations(df: DataFrame, cols: Sequence[str], how: str = "corr") -> DataF
     """Upper triangle of the correlation (or ``covar_samp``) matrix as (a, b, value)."""
     fn = {"corr": F.corr, "cov": F.covar_samp}[how]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 if how == "corr" else i:]]
+    if len(pairs) > MATRIX_PAIRS and _complete(df, cols):
+        g = gram(df.select(pack(cols).alias("v")), "v")
+        m = g.corr if how == "corr" else g.cov
+        at = {c: i for i, c in enumerate(cols)}
+        return df.sparkSession.createDataFrame(
+            [(a, b, float(m[at[a], at[b]])) for a, b in pairs], "a string, b string, value double")
     frames = []
     for at in range(0, len(pairs), CHUNK):
         part = pairs[at:at + CHUNK]
@@ -186,6 +194,14 @@ def correlations(df: DataFrame, cols: Sequence[str], how: str = "corr") -> DataF
     return out
 
 
+MATRIX_PAIRS = 40  # beyond this one Gram pass beats one aggregate per pair
+
+
+def _complete(df: DataFrame, cols: Sequence[str]) -> bool:
+    """No missing value in any column, so every pair shares the same rows."""
+    return df.where(F.exists(pack(cols), lambda x: x.isNull() | F.isnan(x))).isEmpty()
+
+
 def top_correlated_pairs(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
     return correlations(df, cols).orderBy(F.desc(F.abs("value")), "a", "b").limit(k)
 
