@@ -13,10 +13,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wideloom.functions.joins import join_groups
 from wideloom.operators.components import connected_components
 from wideloom.operators.neighbors import BLOCK, block_join, choose_pivots, nearest_neighbors, pair_distances
 from wideloom.operators.quantiles import exact_quantiles
 from wideloom.operators.ranks import cumulative
+from wideloom.session import cut_lineage
 
 
 def merge_copies(df: DataFrame, key: str, vec: str) -> DataFrame:
@@ -25,16 +27,14 @@ def merge_copies(df: DataFrame, key: str, vec: str) -> DataFrame:
 
 
 def attach_ids(df: DataFrame, key: str, vec: str, points: DataFrame, rows: int, distinct: int) -> DataFrame:
-    """(key, id) for every row.  Vectors with more than 1/1000 of all rows, at most a
-    thousand of them, are matched by broadcast so that no join key is hot."""
+    """(key, id) for every row; a vector held by many rows is matched by broadcast."""
     mine = df.select(F.col(key).cast("bigint").alias("key"), F.col(vec).alias("vec"))
     if rows == distinct:
         return mine.select("key", F.col("key").alias("id"))
-    hot = points.where(F.col("weight") > rows / 1000).select("vec", F.col("id").alias("hot_id"))
-    tagged = mine.join(F.broadcast(hot), "vec", "left")
-    cold = tagged.where("hot_id IS NULL").drop("hot_id").join(points.select("vec", "id"), "vec")
-    return tagged.where("hot_id IS NOT NULL").select("key", F.col("hot_id").alias("id")).unionByName(
-        cold.select("key", "id"))
+    return join_groups(mine, points.select("vec", "id", "weight"), "vec", "weight", rows, VECTORS).select("key", "id")
+
+
+VECTORS = 10_000  # distinct vectors that may be broadcast
 
 
 def _forest(adjacent: np.ndarray, q: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +104,11 @@ def dbscan_grid(df: DataFrame, key: str, vec: str, settings: Sequence[tuple[floa
     labelled = core.unionByName(border).join(numbers, ["run", "root"]).select("run", "id", "cluster")
     every = attach_ids(df, key, vec, points, rows, distinct).withColumn(
         "run", F.explode(F.sequence(F.lit(0), F.lit(len(settings) - 1))))
-    return every.join(labelled, ["run", "id"], "left").select(
-        "key", "run", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+    result = cut_lineage(every.join(labelled, ["run", "id"], "left").select(
+        "key", "run", F.coalesce("cluster", F.lit(-1)).alias("cluster")))
+    for used in (points, points2, links, core):
+        used.unpersist()
+    return result
 
 
 def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 5, out: str = "cluster") -> DataFrame:

@@ -68,8 +68,9 @@ def agreement(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def majority_map(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Each cluster's most frequent class (lowest class on ties)."""
-    w = F.struct(F.col("rows"), (-F.dense_rank().over(Window.partitionBy(*by).orderBy("label"))).alias("o"))
-    return cells.withColumn("w", w).groupBy(*by, "cluster").agg(F.max_by("label", "w").alias("mapped"))
+    by = list(by)
+    most = cells.groupBy(*by, "cluster").agg(F.max("rows").alias("most"))
+    return cells.join(most, [*by, "cluster"]).where("rows = most").groupBy(*by, "cluster").agg(F.min("label").alias("mapped"))
 
 
 def align(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -100,8 +100,9 @@ def _m_step(n, nk, s1, s2, kind: str, reg: float) -> tuple[np.ndarray, np.ndarra
 
 
 def fit_many_gmm(df: DataFrame, key: str, vec: str, models: dict[str, dict], max_iter: int = 100, tol: float = 1e-3,
-                 reg_covar: float = 1e-6, init: str = "kmeans") -> dict[str, GaussianMixture]:
-    """Fit every entry ``name: {"k", "seed", "covariance_type"}`` in shared passes."""
+                 reg_covar: float = 1e-6, init: str | np.ndarray = "kmeans") -> dict[str, GaussianMixture]:
+    """Fit every entry ``name: {"k", "seed", "covariance_type"}`` in shared passes; ``init``
+    is "kmeans", "random" or the start means themselves."""
     for m in models.values():
         if m.get("covariance_type", "full") not in COVARIANCES:
             raise ValueError(f"unknown covariance type {m['covariance_type']!r}")
@@ -109,7 +110,9 @@ def fit_many_gmm(df: DataFrame, key: str, vec: str, models: dict[str, dict], max
     try:
         g = gram(data, "v")
         base = np.diag(np.diag(g.scatter) / g.n + reg_covar)
-        if init == "kmeans":
+        if isinstance(init, np.ndarray):
+            starts = {n: init for n in models}
+        elif init == "kmeans":
             starts = {n: m.centers for n, m in fit_many(
                 data, "code", "v", {n: Spec(m["k"], 1, seed=m.get("seed", 42)) for n, m in models.items()}).items()}
         elif init == "random":
@@ -170,7 +173,7 @@ def _random_rows(data: DataFrame, models: dict[str, dict], p: int) -> dict[str,
 
 
 def gmm(df: DataFrame, key: str, vec: str, k: int, covariance_type: str = "full", max_iter: int = 100,
-        tol: float = 1e-3, reg_covar: float = 1e-6, seed: int = 42, init: str = "kmeans", n_init: int = 1
+        tol: float = 1e-3, reg_covar: float = 1e-6, seed: int = 42, init: str | np.ndarray = "kmeans", n_init: int = 1
         ) -> GaussianMixture:
     fits = fit_many_gmm(df, key, vec, {str(i): {"k": k, "seed": seed + 7 * i, "covariance_type": covariance_type}
                                        for i in range(n_init)}, max_iter, tol, reg_covar, init)

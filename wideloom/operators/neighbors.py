@@ -10,6 +10,7 @@ summaries (counts, top-k, spanning edges), never its pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -164,7 +165,8 @@ def nearest_neighbors(df: DataFrame, key: str, vec: str, k: int, rows: int | Non
                 "distance": picked.ravel()[ok.ravel()]}
 
     schema = "key bigint, neighbor bigint, distance double"
-    first = _best(block_join(df, key, vec, pivots, F.lit(0.0), top, schema, home_only=True, block=block), k)
+    first = _best(block_join(df, key, vec, pivots, F.lit(0.0), top, schema, home_only=True, block=block), k,
+                  max(1, n // (block * len(pivots))))
     if len(pivots) == 1:
         return first
     first = first.persist()
@@ -172,11 +174,18 @@ def nearest_neighbors(df: DataFrame, key: str, vec: str, k: int, rows: int | Non
     reach = df.select(F.col(key).alias("key"), F.col(vec).alias("vec")).join(radius, "key", "left").withColumn(
         "reach", F.when(F.col("found") >= k, F.col("far")).otherwise(F.lit(1e300)))
     second = block_join(reach, "key", "vec", pivots, F.col("reach"), top, schema, foreign_only=True, block=block)
-    return _best(first.unionByName(second), k)
+    return _best(first.unionByName(second), k, max(1, n // block))
 
 
-def _best(candidates: DataFrame, k: int) -> DataFrame:
-    """The k nearest per key.  A key has at most k candidates per unit it visited."""
-    lists = candidates.groupBy("key").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("distance", "neighbor"))), 1, k).alias("best"))
-    return lists.select("key", F.explode("best").alias("b")).select("key", "b.neighbor", "b.distance")
+def _best(candidates: DataFrame, k: int, units: int = 1) -> DataFrame:
+    """The k nearest per key.  A key brings at most k candidates per unit it visited; when
+    that can be many they are cut to k per salted part first."""
+    def cut(df, *keys):
+        lists = df.groupBy(*keys).agg(
+            F.slice(F.array_sort(F.collect_list(F.struct("distance", "neighbor"))), 1, k).alias("best"))
+        return lists.select("key", F.explode("best").alias("b")).select("key", "b.neighbor", "b.distance")
+
+    if units > 64:
+        salted = candidates.withColumn("salt", F.pmod(F.xxhash64("neighbor"), F.lit(math.isqrt(units))))
+        candidates = cut(salted, "key", "salt")
+    return cut(candidates, "key")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wideloom.functions import stats as S
+from wideloom.functions.joins import join_groups
 from wideloom.functions.vectors import pack
 from wideloom.operators import profile
 from wideloom.operators.quantiles import exact_quantiles
@@ -193,17 +194,13 @@ def remove_site_effects(df: DataFrame, cols: Sequence[str], site: str) -> DataFr
     Site means are aggregated first (map-side) and joined back, so a site holding a third
     of the rows is never gathered in one task as a window would do.
     """
-    means = df.groupBy(site).agg(*[F.avg(S.clean(F.col(c))).alias(f"site_mean_{c}") for c in cols])
-    if means.limit(SITE_LIMIT + 1).count() <= SITE_LIMIT:
-        means = F.broadcast(means)
-    joined = df.join(means, df[site].eqNullSafe(means[site])).drop(means[site])
+    means = df.groupBy(site).agg(F.count("*").alias("_rows"), *[F.avg(S.clean(F.col(c))).alias(f"site_mean_{c}") for c in cols])
+    total = means.agg(F.sum("_rows")).first()[0] or 0
+    joined = join_groups(df, means, site, "_rows", total)
     return joined.withColumns({c: F.col(c) - F.col(f"site_mean_{c}") for c in cols}).drop(
         *[f"site_mean_{c}" for c in cols])
 
 
-SITE_LIMIT = 100_000
-
-
 def adaptive_preprocess(df: DataFrame, cols: Sequence[str], variance: float = 0.01) -> tuple[DataFrame, list[str]]:
     """Median impute, Yeo-Johnson on |skew| > 1, robust or standard scaling, then drop
     features with population variance <= ``variance``.  Other columns ride along."""

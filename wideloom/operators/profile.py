@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wideloom.functions import stats as S
+from wideloom.functions.joins import measured_broadcast
 from wideloom.functions.moments import moments_long
 from wideloom.functions.vectors import pack
 from wideloom.operators.quantiles import exact_quantiles
@@ -333,7 +334,7 @@ def kde(df: DataFrame, dims: Sequence[Column], grids: Sequence[Sequence[float]],
                        (F.col("vx") / det / h2).alias("i22"),
                        (1 / (2 * math.pi * F.sqrt(det) * h2)).alias("norm"))
     points = list(itertools.product(*grids))
-    j = df.select(F.col(by), x.alias("x"), y.alias("y")).join(st, by)
+    j = df.select(F.col(by), x.alias("x"), y.alias("y")).join(measured_broadcast(st), by)
     out = []
     for at in range(0, len(points), CHUNK):
         part = points[at:at + CHUNK]

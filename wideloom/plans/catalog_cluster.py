@@ -94,6 +94,25 @@ def _(spark, table):
     return rounded(K.cluster_importance(embeddings(table), "v", "label"), "importance", digits=9)
 
 
+def _enhanced_steps(metric, dist):
+    sql = _lloyd_sql(2, 3, "median").replace("list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) ** 2))", dist)
+    # The second step is damped by 1 / 1.1 and carries a tenth of the first.
+    sql = sql.replace("c2 AS (SELECT j, list(x ORDER BY i) AS c FROM m1 GROUP BY j)", """c2 AS (
+  SELECT j, list(o[i] + (x - o[i]) / 1.1 + 0.1 * (o[i] - s[i]) ORDER BY i) AS c
+  FROM m1 JOIN (SELECT j, c AS o FROM c1) USING (j) JOIN (SELECT j, c AS s FROM c0) USING (j) GROUP BY j)""")
+
+    @query(f"enhanced_steps_{metric}", sql + CENTERS.format(2).replace(", 9)", ", 6)"))
+    def _(spark, table):
+        df = embeddings(table)
+        spec = K.Spec(3, metric=metric, enhanced=True, init=_first_rows(table, 3))
+        return rounded(K.centers_frame(df, K.fit_many(df, "vec_id", "v", {"m": spec}, 2, 0.0)["m"].centers), "center")
+
+
+_enhanced_steps("euclidean", "list_distance(v, c)")
+_enhanced_steps("manhattan", "list_sum(list_transform(list_zip(v, c), lambda p: abs(p[1] - p[2])))")
+_enhanced_steps("cosine", "1 - list_cosine_similarity(v, c)")
+
+
 # ---- full fits ------------------------------------------------------------------------------------
 
 @query("kmeans_fit")
@@ -141,6 +160,28 @@ def _(spark, table):
                    "bic", "aic", digits=3)
 
 
+def _em_sql(rounds: int) -> str:
+    out = """WITH p0 AS (SELECT [0.5, 0.5] AS w, [5.0, 100.0] AS m, [var_pop(value) + 1e-6, var_pop(value) + 1e-6] AS s FROM events)"""
+    for r in range(rounds):
+        out += f""", j{r} AS (SELECT value, list_transform([1, 2], lambda k: w[k] / sqrt(2 * pi() * s[k]) * exp(-0.5 * (value - m[k]) ** 2 / s[k])) AS j
+  FROM events, p{r}),
+r{r} AS (SELECT value, j[1] / (j[1] + j[2]) AS a, j[2] / (j[1] + j[2]) AS b FROM j{r}),
+t{r} AS (SELECT count(*) AS n, sum(a) AS na, sum(b) AS nb, sum(a * value) AS sa, sum(b * value) AS sb, sum(a * value * value) AS qa,
+  sum(b * value * value) AS qb FROM r{r}),
+p{r + 1} AS (SELECT [na / n, nb / n] AS w, [sa / na, sb / nb] AS m, [qa / na - (sa / na) ** 2 + 1e-6, qb / nb - (sb / nb) ** 2 + 1e-6] AS s FROM t{r})"""
+    return out + f""" SELECT CAST(unnest([0, 1]) AS INTEGER) AS component, round(unnest(w), 6) + 0.0 AS weight, round(unnest(m), 5) + 0.0 AS mean,
+  round(unnest(s), 4) + 0.0 AS variance FROM p{rounds}"""
+
+
+@query("gmm_em_rounds", _em_sql(4))
+def _(spark, table):
+    df = table("events").select("event_id", F.array("value").alias("v"))
+    g = G.gmm(df, "event_id", "v", 2, max_iter=4, tol=0.0, init=np.array([[5.0], [100.0]]))
+    out = spark.createDataFrame([(k, float(g.weights[k]), float(g.means[k, 0]), float(g.covariances[k, 0, 0])) for k in range(2)],
+                                "component int, weight double, mean double, variance double")
+    return rounded(rounded(rounded(out, "weight"), "mean", digits=5), "variance", digits=4)
+
+
 @query("gmm_component_search")
 def _(spark, table):
     z = _z(table, 3)
@@ -223,9 +264,34 @@ def _(spark, table):
     return MS.mean_shift(_z(table, 3), "vec_id", "z", max_iter=60)[0].select("vec_id", "cluster")
 
 
-@query("affinity_propagation")
+@query("mean_shift_step", f"""
+WITH s AS (SELECT vec_id AS seed, v AS c FROM {EMB} ORDER BY vec_id LIMIT 5),
+w AS (SELECT seed, v, exp(-0.5 * (list_distance(v, c) / 0.5) ** 2) AS w FROM {EMB}, s),
+l AS (SELECT seed, w, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM w)
+SELECT CAST(seed AS INTEGER) AS seed, CAST(i AS INTEGER) AS i, round(sum(w * x) / sum(w), 9) + 0.0 AS x FROM l GROUP BY seed, i""")
 def _(spark, table):
-    return AP.affinity_propagation(_z(table, 5), "vec_id", "z", max_iter=8, neighbors=20)
+    end = MS.shift_seeds(embeddings(table), "v", _first_rows(table, 5), 0.5, 1, 0.0)
+    return rounded(spark.createDataFrame([(s, i, float(x)) for s, row in enumerate(end) for i, x in enumerate(row)],
+                                         "seed int, i int, x double"), "x", digits=9)
+
+
+def _affinity_sql(rounds: int, near: int) -> str:
+    out = f"""WITH n AS MATERIALIZED (SELECT u AS i, w AS k, -d * d AS s FROM {PAIRS} WHERE u <> w
+  QUALIFY row_number() OVER (PARTITION BY u ORDER BY d, w) <= {near}),
+p AS (SELECT quantile_cont(s, 0.5) AS p FROM (SELECT s FROM n UNION ALL SELECT 0.0 FROM embeddings)),
+e0 AS MATERIALIZED (SELECT i, k, s, 0.0::DOUBLE AS r, 0.0::DOUBLE AS a FROM n UNION ALL SELECT vec_id, vec_id, p, 0.0, 0.0 FROM embeddings, p)"""
+    for t in range(rounds):
+        out += f""", b{t} AS (SELECT i, arg_max(k, a + s) AS bk, max(a + s, 2) AS top FROM e{t} GROUP BY i),
+r{t} AS MATERIALIZED (SELECT i, k, s, a, 0.5 * r + 0.5 * (s - CASE WHEN k = bk THEN top[2] ELSE top[1] END) AS r FROM e{t} JOIN b{t} USING (i)),
+c{t} AS (SELECT k, sum(greatest(r, 0)) FILTER (WHERE i <> k) AS p, max(r) FILTER (WHERE i = k) AS rkk FROM r{t} GROUP BY k),
+e{t + 1} AS MATERIALIZED (SELECT i, k, s, r, 0.5 * a + 0.5 * CASE WHEN i = k THEN coalesce(p, 0)
+  ELSE least(0, rkk + coalesce(p, 0) - greatest(r, 0)) END AS a FROM r{t} JOIN c{t} USING (k))"""
+    return out + f" SELECT i AS vec_id, arg_max(k, a + r) AS exemplar FROM e{rounds} GROUP BY i"
+
+
+@query("affinity_propagation", _affinity_sql(6, 20))
+def _(spark, table):
+    return AP.affinity_propagation(embeddings(table), "vec_id", "v", max_iter=6, neighbors=20)
 
 
 TUPLES = "(SELECT vec_id, label, CAST(vec_id % 3 AS INTEGER) AS a, CAST(vec_id % 2 AS INTEGER) AS b, CASE WHEN vec_id % 5 = 0 THEN -1 ELSE CAST(label % 4 AS INTEGER) END AS c FROM embeddings)"
@@ -242,6 +308,17 @@ def _(spark, table):
     return H.signatures(_tuples(table), "vec_id", ["a", "b", "c"])
 
 
+@query("coassociation_weights", f"""
+WITH g AS (SELECT a, b, c, min(vec_id) AS f FROM {TUPLES} GROUP BY a, b, c)
+SELECT x.f AS first_a, y.f AS first_b, round(0.5 * CAST(x.a = y.a AS INTEGER) + 0.2 * CAST(x.b = y.b AS INTEGER)
+  + 0.3 * CAST(x.c = y.c AND x.c <> -1 AS INTEGER), 6) + 0.0 AS weight FROM g x, g y""")
+def _(spark, table):
+    sig = H.signatures(_tuples(table), "vec_id", ["a", "b", "c"]).orderBy("first_key").collect()
+    w = H.coassociation(np.array([[r["a"], r["b"], r["c"]] for r in sig]), np.array([0.5, 0.2, 0.3]))
+    out = [(p["first_key"], q["first_key"], float(w[i, j])) for i, p in enumerate(sig) for j, q in enumerate(sig)]
+    return rounded(spark.createDataFrame(out, "first_a bigint, first_b bigint, weight double"), "weight")
+
+
 @query("ensemble_clustering")
 def _(spark, table):
     return H.ensemble(_tuples(table), "vec_id", ["a", "b", "c"], {"a": 0.5, "b": 0.2, "c": 0.3}, 3, noise_checked=["c"]).select(
@@ -516,7 +593,7 @@ def _(spark, table):
 
 @query("prepare_select_reduce")
 def _(spark, table):
-    cols = [f"f{i}" for i in range(12)]
+    cols = [f"f{i}" for i in range(64)]
     df = embeddings(table).select("vec_id", "label", *[F.col("v")[i].alias(c) for i, c in enumerate(cols)])
     out, (_, k) = SW.prepare_select_reduce(df, cols, "vec_id", "label", 10, methods=("pca", "truncated_svd"), counts=(2, 5),
                                            n_init=2, max_iter=20)
@@ -525,5 +602,5 @@ def _(spark, table):
 
 @query("evaluate_combined")
 def _(spark, table):
-    df = embeddings(table).withColumn("v", F.slice("v", 1, 24))
-    return rounded(SW.evaluate_combined(df, "vec_id", "v", "label", 10, 2, 3, [(i, i + 12) for i in range(12)], 30), *SCORES)
+    df = embeddings(table)
+    return rounded(SW.evaluate_combined(df, "vec_id", "v", "label", 10, 2, 3, [(i, i + 32) for i in range(4)], 30), *SCORES)

@@ -252,6 +252,21 @@ _two_query("hybrid_whitening", HY.format(s1=S1, s2=S2, f1="u1", f2="u2", s=S1, l
            HY.format(s1=S1, s2=S2, f1="w1", f2="w2", s=S2, l="l2"), lambda df: R.whiten(df, "v", "hybrid"))
 
 
+@query("svd_scores", """
+WITH d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS x, l_quantity / 10 + l_extendedprice / 5000 AS y
+  FROM lineitem),
+s AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS c FROM d),
+p AS (SELECT b, (a + c) / 2 + sqrt(((a - c) / 2) ** 2 + b * b) - a AS g FROM s),
+q AS (SELECT abs(b) / sqrt(b * b + g * g) AS u, sign(b) * g / sqrt(b * b + g * g) AS w FROM p)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(x * u + y * w, 5) + 0.0 AS c0,
+  round(CASE WHEN abs(w) >= abs(u) THEN sign(w) ELSE -1 END * (x * w - y * u), 5) + 0.0 AS c1
+FROM d, q""")
+def _(spark, table):
+    df = _two(table)
+    out = R.truncated_svd(df, "v", 2).transform(df, "v", "z")
+    return out.select(*LI_KEYS, *[rnd(F.col("z")[i], 5).alias(f"c{i}") for i in range(2)])
+
+
 @query("explained_variance", TWO + """
 SELECT CAST(1 AS INTEGER) AS component, round(l1 / (l1 + l2), 9) + 0.0 AS ratio, round(l1 / (l1 + l2), 9) + 0.0 AS cumulative,
   l1 / (l1 + l2) >= 0.8 AS reaches_80, l1 / (l1 + l2) >= 0.9 AS reaches_90 FROM e UNION ALL
@@ -313,8 +328,7 @@ _frames("step_chain", 5, lambda df: ST.run_steps(df, "vec_id", "v", [
 _frames("ensemble_reduction", 10, lambda df: ST.ensemble_reduction(df, "vec_id", "v", 10, 50))
 _frames("auto_features", 20, lambda df: ST.auto_features(df, "vec_id", "v", 20))
 _frames("clustering_features", 10, lambda df: ST.clustering_features(df, "vec_id", "v", 10, True))
-_frames("combined_features", 10, lambda df: ST.combined_features(
-    df.withColumn("v", F.slice("v", 1, 24)), "vec_id", "v", 10, [(i, i + 12) for i in range(12)]))
+_frames("combined_features", 10, lambda df: ST.combined_features(df, "vec_id", "v", 10, [(i, i + 32) for i in range(4)]))
 
 
 @query("reduction_views")

@@ -236,6 +236,7 @@ def many_algorithms(df: DataFrame, key: str, vec: str, label: str, k: int = 2, e
         F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).cast("int").alias("n_clusters"))
     took = df.sparkSession.createDataFrame([(n, float(s)) for n, s in seconds.items()], "run string, seconds double")
     table = _landed(E.score(long, label, "cluster", ["run"]).join(counts, "run").join(took, "run"))
+    data.unpersist()
     return out, table
 
 
