@@ -19,6 +19,7 @@ from pyspark.sql.functions import arrow_udf
 
 from wideloom.functions.moments import class_moments
 from wideloom.functions.vectors import to_matrix
+from wideloom.operators.neighbors import block_join, choose_pivots, pair_distances
 
 METRICS = ("accuracy", "precision", "recall", "f1", "ari", "nmi")
 
@@ -293,6 +294,53 @@ def silhouette(df: DataFrame, vec: str, cluster: str, by: Sequence[str] = ()) ->
     return scored.groupBy(*by).agg(F.when(defined, mean).alias("silhouette"))
 
 
+def silhouette_euclidean(df: DataFrame, key: str, vec: str, cluster: str) -> DataFrame:
+    """Mean silhouette with the plain Euclidean distance, exact.
+
+    Distances to every other row are needed, so the work grows with rows squared; prefer
+    :func:`silhouette` for large tables.  Blocks of rows meet blocks of rows, and a unit
+    returns one vector of per-cluster distance sums per row, never its pairs.
+    """
+    data = df.where(F.col(cluster).isNotNull())
+    sizes = {r[0]: r[1] for r in data.groupBy(cluster).count().orderBy(cluster).limit(MAX_CLUSTERS + 1).collect()}
+    if len(sizes) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    if len(sizes) < 2:
+        return df.sparkSession.createDataFrame([(None,)], "silhouette double")
+    names, n = list(sizes), np.array(list(sizes.values()), float)
+    number = F.array_position(F.array(*[F.lit(k) for k in names]), F.col(cluster)).cast("int") - 1
+    coded = data.select(F.col(key).cast("bigint").alias("key"), F.col(vec).alias("vec"), number.alias("j"))
+
+    def sums(q, d):
+        dist = pair_distances(q["vec"], d["vec"])
+        dist[q["key"][:, None] == d["key"][None, :]] = 0.0
+        hot = np.zeros((len(d["key"]), len(names)))
+        hot[np.arange(len(hot)), d["j"]] = 1.0
+        return {"key": q["key"], "j": q["j"], "total": dist @ hot}
+
+    pivots = choose_pivots(coded, "key", "vec", int(n.sum()))
+    parts = block_join(coded, "key", "vec", pivots, F.lit(1e300), sums, "key bigint, j int, total array<double>", ["j"])
+    per = parts.groupBy("key", "j").agg(*[F.sum(F.col("total")[i]).alias(f"t{i}") for i in range(len(names))])
+
+    def row_score(t, j):
+        rows = np.arange(len(j))
+        a = t[rows, j] / np.maximum(n[j] - 1, 1)
+        other = t / n
+        other[rows, j] = np.inf
+        b = other.min(axis=1)
+        top = np.maximum(a, b)
+        return np.where((n[j] > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1), 0.0)
+
+    @arrow_udf("double")
+    def run(t: pa.Array, j: pa.Array) -> pa.Array:
+        return pa.array(row_score(to_matrix(t), j.to_numpy(zero_copy_only=False))) if len(j) else pa.array([], pa.float64())
+
+    return per.select(run(F.array(*[f"t{i}" for i in range(len(names))]), "j").alias("s")).agg(F.avg("s").alias("silhouette"))
+
+
+MAX_CLUSTERS = 200
+
+
 # ---- result tables -------------------------------------------------------------------
 
 def best_by(results: DataFrame, metric: str, order: str) -> DataFrame:

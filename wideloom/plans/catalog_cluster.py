@@ -441,6 +441,16 @@ def _(spark, table):
     return rounded(E.silhouette(embeddings(table), "v", "label"), "silhouette")
 
 
+@query("silhouette_euclidean", f"""
+WITH p AS (SELECT u, a.label AS lu, b.label AS lw, d FROM {PAIRS} JOIN embeddings a ON a.vec_id = u JOIN embeddings b ON b.vec_id = w
+  WHERE u <> w),
+m AS (SELECT u, lu, lw, avg(d) AS d FROM p GROUP BY ALL),
+s AS (SELECT u, min(d) FILTER (WHERE lw = lu) AS a, min(d) FILTER (WHERE lw <> lu) AS b FROM m GROUP BY u)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) + 0.0 AS silhouette FROM s""")
+def _(spark, table):
+    return rounded(E.silhouette_euclidean(embeddings(table), "vec_id", "v", "label"), "silhouette")
+
+
 # ---- result tables, from runs scored on the tables ------------------------------------------------------------
 
 RUNS = "(SELECT r AS run, label, CAST((vec_id * r + label * (r % 3)) % 10 AS INTEGER) AS cluster FROM embeddings, range(1, 9) t(r))"

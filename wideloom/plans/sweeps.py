@@ -79,7 +79,8 @@ def _landed(result: DataFrame) -> DataFrame:
 
 def optimal_k(df: DataFrame, key: str, vec: str, max_k: int = 10, metric: str = "silhouette", n_init: int = 10,
               max_iter: int = 300) -> tuple[int, DataFrame]:
-    """k in 2..max_k by best silhouette or by the elbow of the inertia."""
+    """k in 2..max_k by best silhouette (squared or plain Euclidean) or by the elbow of the
+    inertia."""
     data = df.select(key, F.col(vec).alias("v")).persist()
     try:
         models = fit_many(data, key, "v", {str(k): Spec(k, n_init) for k in range(2, max_k + 1)}, max_iter)
@@ -87,11 +88,16 @@ def optimal_k(df: DataFrame, key: str, vec: str, max_k: int = 10, metric: str =
             table = df.sparkSession.createDataFrame(
                 [(int(k), float(m.inertia)) for k, m in models.items()], "k int, score double")
             return int(E.elbow(table, "k", "score").first()["k"]), table
-        if metric != "silhouette":
+        if metric == "silhouette_euclidean":
+            table = df.sparkSession.createDataFrame([
+                (int(k), float(E.silhouette_euclidean(m.transform(data, "v"), key, "v", "cluster").first()["silhouette"]))
+                for k, m in models.items()], "k int, score double")
+        elif metric == "silhouette":
+            runs = label_runs(data, "v", models, ["v"])
+            table = _landed(E.silhouette(runs, "v", "cluster", ["run"]).select(
+                F.col("run").cast("int").alias("k"), F.col("silhouette").alias("score")))
+        else:
             raise ValueError(f"unknown metric {metric!r}")
-        runs = label_runs(data, "v", models, ["v"])
-        table = _landed(E.silhouette(runs, "v", "cluster", ["run"]).select(
-            F.col("run").cast("int").alias("k"), F.col("silhouette").alias("score")))
         return int(E.best_by(table, "score", "k").first()["k"]), table
     finally:
         data.unpersist()
