@@ -69,7 +69,7 @@ def test_histogram_medians_equal_numpy(emb, x):
     K._assign_stats(emb, "v", [r], span, 512)
     got = K._medians(emb, "v", [r], span, 512)[id(r)]
     a = ((x[:, None] - c) ** 2).sum(2).argmin(1)
-    assert np.allclose(got, [np.median(x[a == j], axis=0) for j in range(3)], atol=1e-8)
+    assert np.allclose(got, [np.median(x[a == j], axis=0) for j in range(3)], rtol=0, atol=0)
 
 
 def test_enhanced_step_matches_reference_arithmetic(spark):

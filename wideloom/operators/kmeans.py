@@ -214,21 +214,35 @@ def _assign_stats(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray]
         r.stats = dict(zip(("n", "sum", "cost", "dist", "hist"), flat[5 * i:5 * i + 5]))
 
 
-MEDIAN_BITS = 30  # medians are exact to this many bits of the feature's range
+MEDIAN_PASSES = 6  # at 1024 bins the last bracket is 2^-60 of the feature's range
 
 
 def _narrow(lo, w, below, hist, rank):
-    """The histogram cell that holds the wanted rank."""
+    """The histogram cell that holds the wanted rank, a hair wider than computed so that a
+    value on its edge cannot fall out."""
     bins = hist.shape[-1]
     seen = below[..., None] + hist.cumsum(axis=-1)
     at = np.clip((seen <= rank[:, None, None]).sum(axis=-1), 0, bins - 1)
-    return lo + at * w / bins, w / bins
+    return lo + (at - 1e-9) * w / bins, w / bins * (1 + 2e-9)
+
+
+def _merge_medians(a, b):
+    """Per bracket: below and histogram add up, then the smallest and largest value inside."""
+    return [(x + y, x + y, np.minimum(x, y), np.maximum(x, y))[i % 4] for i, (x, y) in enumerate(zip(a, b))]
+
+
+def _inside_range(v, a, k, lo, w):
+    inside = (v >= lo[a]) & (v <= (lo + w)[a])
+    low, high = np.full((k, v.shape[1]), np.inf), np.full((k, v.shape[1]), -np.inf)
+    np.minimum.at(low, a, np.where(inside, v, np.inf))
+    np.maximum.at(high, a, np.where(inside, v, -np.inf))
+    return low, high
 
 
 def _medians(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray], bins: int) -> dict[int, np.ndarray]:
     """Median of every (run, cluster, feature): the histogram of the assignment pass is
-    narrowed around the two middle ranks.  A pass has a fixed-size summary, however many
-    rows a cluster holds."""
+    narrowed around the two middle ranks until each bracket holds one value, which is then
+    the exact answer.  A pass has a fixed-size summary, however many rows a cluster holds."""
     models = _views(runs)
     lo, w, ranks = [], [], []
     for r in runs:
@@ -239,21 +253,30 @@ def _medians(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray], bin
         both = [_narrow(lo0, w0, np.zeros((k, p)), r.stats["hist"], rank) for rank in ranks[-1]]
         lo.append([b[0] for b in both])
         w.append([b[1] for b in both])
-    for _ in range(int(np.ceil(MEDIAN_BITS / np.log2(bins))) - 1):
+    value = {id(r): np.zeros((2, *r.centers.shape)) for r in runs}
+    for _ in range(MEDIAN_PASSES - 1):
         def part(x, lo=lo, w=w):
             out = []
             for m, lo_r, w_r in zip(models, lo, w):
                 a, v = m.distances(x).argmin(axis=1), x[:, :m.dims]
                 for t in range(2):
-                    out += _histogram(v, a, len(m.centers), lo_r[t], w_r[t], bins)
+                    out += [*_histogram(v, a, len(m.centers), lo_r[t], w_r[t], bins),
+                            *_inside_range(v, a, len(m.centers), lo_r[t], w_r[t])]
             return out
 
-        flat = sum_rows(df, [vec], part)
-        for i in range(len(runs)):
-            both = [_narrow(lo[i][t], w[i][t], flat[4 * i + 2 * t], flat[4 * i + 2 * t + 1], ranks[i][t])
-                    for t in range(2)]
-            lo[i], w[i] = [b[0] for b in both], [b[1] for b in both]
-    return {id(r): (lo[i][0] + lo[i][1] + (w[i][0] + w[i][1]) / 2) / 2 for i, r in enumerate(runs)}
+        flat = sum_rows(df, [vec], part, _merge_medians)
+        exact = True
+        for i, r in enumerate(runs):
+            for t in range(2):
+                below, hist, low, high = flat[8 * i + 4 * t:8 * i + 4 * t + 4]
+                single = low == high
+                empty = (r.stats["n"] == 0)[:, None]
+                value[id(r)][t] = np.where(single, low, lo[i][t] + w[i][t] / 2)
+                exact = exact and bool((single | empty).all())
+                lo[i][t], w[i][t] = _narrow(lo[i][t], w[i][t], below, hist, ranks[i][t])
+        if exact:
+            break
+    return {key: v.mean(axis=0) for key, v in value.items()}
 
 
 def _span(df, vec) -> tuple[np.ndarray, np.ndarray]:
