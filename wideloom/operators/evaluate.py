@@ -20,6 +20,7 @@ from pyspark.sql.functions import arrow_udf
 from wideloom.functions.moments import class_moments
 from wideloom.functions.vectors import to_matrix
 from wideloom.operators.neighbors import block_join, choose_pivots, pair_distances
+from wideloom.session import cut_lineage
 
 METRICS = ("accuracy", "precision", "recall", "f1", "ari", "nmi")
 
@@ -189,6 +190,9 @@ def score_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     if not by:
         return score_cells(cells.withColumn("_run", F.lit(0)), ["_run"]).drop("_run")
     by = list(by)
+    # A small table that several steps read: fixed here so that the rows, and any model that
+    # labels them, are evaluated once.
+    cells = cut_lineage(cells)
     sizes = cells.groupBy(*by).agg(
         ((F.count_distinct("label") == 2) & (F.count_distinct("cluster") == 2)).alias("binary"))
     mapped = cells.join(align(cells, by), [*by, "cluster"])

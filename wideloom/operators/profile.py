@@ -16,6 +16,7 @@ from wideloom.functions.vectors import pack
 from wideloom.operators.quantiles import exact_quantiles
 from wideloom.operators.ranks import cumulative, melt
 from wideloom.operators.reduce import gram
+from wideloom.session import cut_lineage
 
 CHUNK = 300
 
@@ -97,7 +98,7 @@ def shapiro_wilk(
     """
     code = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in tie_break], F.lit(str(seed))))
     sample = df.select(*cols, *[c for c in tie_break if c not in cols]).orderBy(code, *tie_break).limit(max_rows)
-    long = melt(sample, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    long = melt(cut_lineage(sample), cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     by = Window.partitionBy("feature")
     x = long.select("feature", "value", F.row_number().over(by.orderBy("value")).cast("double").alias("i"),
                     F.count("*").over(by).cast("double").alias("n"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wideloom.session import cores
+from wideloom.session import cores, cut_lineage
 
 
 def cumulative(
@@ -26,6 +26,8 @@ def cumulative(
     keys = list(keys)
     distinct = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         *[e.alias(n) for n, e in counts.items()])
+    # Read several times below: written once, so the input is scanned and shuffled once.
+    distinct = cut_lineage(distinct)
     buckets = buckets or max(8, 2 * cores(df.sparkSession))
     cuts = [i / buckets for i in range(1, buckets)]
     bounds = distinct.groupBy(*keys).agg(F.percentile_approx(value, cuts, 1000).alias("bounds"))
