@@ -203,6 +203,10 @@ def _redacted(text: str | None, mark: str) -> str | None:
     return "".join(out) + text[at:]
 
 
+def of_kinds(spans: str | Column, kinds) -> Column:
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
 def joined(spans: str | Column) -> Column:
     """kind:start:end of all spans, comma-joined."""
     c = F.col(spans) if isinstance(spans, str) else spans
