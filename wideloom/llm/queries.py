@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wideloom.llm import decontaminate, ngram_join, packing, secrets, toxicity
-from wideloom.llm.common import fold, prepared
+from wideloom.llm import (
+    decontaminate, fingerprints, ngram_join, packing, quality, secrets, sharding, toxicity, url_filter)
+from wideloom.llm.common import fold, prepared, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,15 @@ def query(name: str):
     return register
 
 
+@query("op1_quality")
+def op1(spark, table):
+    docs, labels = table("documents"), table("labels")
+    stats = stored(docs.select("doc_id", quality.statistics_of().alias("stats")), "quality")
+    model = quality.fit(stats, labels.where(fold("doc_id") != 0))
+    return (stats.select("doc_id", (fold("doc_id") == 0).alias("held_out"), model.score("stats").alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+
+
 @query("op2_ngram_jaccard_join")
 def op2(spark, table):
     """doc_id, class_id (least doc_id of its group), n_links (other documents at 0.8 or more)."""
@@ -40,6 +50,11 @@ def op3(spark, table):
                         secrets.joined("secrets").alias("spans"))
 
 
+@query("op4_fingerprints")
+def op4(spark, table):
+    return fingerprints.edited_fingerprints(table("documents"))
+
+
 @query("op5_benchmark_decontamination")
 def op5(spark, table):
     """A row per document and benchmark item found in it: word span and edit distance in words."""
@@ -57,3 +72,28 @@ def op8(spark, table):
     model = toxicity.fit(docs, labels.where(fold("doc_id") != 0))
     return (docs.select("doc_id", toxicity.held_out().alias("held_out"), model.score().alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+# The host rules of the query's contract.
+HOST_RULES = [url_filter.HostRule(*r) for r in (
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"))]
+
+
+def labelled_urls(table) -> DataFrame:
+    """(url, block): URLs whose number is a labelled document; toxic or poor ones are to be blocked."""
+    _, path = url_filter.host_and_path("url")
+    numbered = table("pages").select("url", F.regexp_extract(path, r"/(\d{1,18})", 1).try_cast("bigint").alias("doc_id"))
+    labels = table("labels").select("doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("block"))
+    return numbered.join(labels, "doc_id").select("url", "block")
+
+
+@query("op9_url_filter")
+def op9(spark, table):
+    return url_filter.filtered(table("pages"), HOST_RULES, labelled_urls(table))
+
+
+@query("op10_bounded_load_ring")
+def op10(spark, table):
+    return sharding.shard_documents(table("documents"), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
