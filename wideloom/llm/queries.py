@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wideloom.llm import (
-    decontaminate, fingerprints, ngram_join, packing, quality, secrets, sharding, toxicity, url_filter)
+    decontaminate, fingerprints, ngram_join, packing, quality, repeats, secrets, sharding, toxicity, url_filter)
 from wideloom.llm.common import fold, prepared, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,12 @@ def op6(spark, table):
     return packing.packed(table("documents"))
 
 
+@query("op7_repeated_strings")
+def op7(spark, table):
+    return repeats.without_repeats(table("documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query("op8_toxicity")
 def op8(spark, table):
     docs, labels = table("documents"), table("labels")
