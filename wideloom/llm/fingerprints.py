@@ -88,8 +88,8 @@ def phrase_names(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if level >= FIRST_LEVEL:
             names.append(mix(sym + np.uint64(level)))
             owners.append(doc)
-            if len(sym) == len(np.unique(doc)):
-                break
+            more = np.bincount(doc, minlength=len(texts))[doc] > 1  # a text that is one phrase is done
+            sym, doc = sym[more], doc[more]
     if not names:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(names), np.concatenate(owners)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wideloom.llm.common import SubstringHashes, mix, prepared, signed, small, stored, streamed_groups, whole_text
+from wideloom.llm.common import SubstringHashes, fresh, mix, prepared, signed, small, stored, streamed_groups, whole_text
 from wideloom.operators.components import connected_components
 
 BLOCK_ROWS = 1024
@@ -236,19 +236,19 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", n: i
                   ) -> DataFrame:
     """The rows of ``docs`` that lead their group, with the columns of ``docs``; repeated rows stay once."""
     found = near_duplicates(docs, key, text, n, threshold)
-    found = stored(found.withColumn("leads", F.col(key).eqNullSafe(F.col("class_id")) & (
-        F.col("digest") == F.col("first_digest"))).select(F.col(key).alias("_key"), F.col("digest").alias("_digest"),
-                                                          "leads"), "ngram-groups")
-    here = [F.col(key).eqNullSafe(F.col("_key")),
-            F.unhex(F.md5(F.encode(whole_text(text), "UTF-8"))) == F.col("_digest")]
-    gone = found.where("not leads").select("_key", "_digest").distinct()
-    kept = docs.join(small(gone), here, "left_anti")
-    again = found.where("leads").groupBy("_key", "_digest").count().where("count > 1").drop("count")
-    twice = kept.join(small(again), here, "left_semi")
-    once = kept.join(small(again), here, "left_anti")
+    leads = F.col(key).eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("first_digest"))
+    found = stored(found.select(F.col(key).alias("key"), "digest", leads.alias("leads")), "ngram-groups")
+    k, d = fresh(docs, "key"), fresh(docs, "digest")
+    rows = docs.withColumn(d, F.unhex(F.md5(F.encode(whole_text(text), "UTF-8"))))
+
+    def here(keys: DataFrame, how: str, left: DataFrame) -> DataFrame:
+        keys = small(keys.select(F.col("key").alias(k), F.col("digest").alias(d)))
+        return left.join(keys, left[key].eqNullSafe(keys[k]) & (left[d] == keys[d]), how)
+
+    kept = here(found.where("not leads").distinct(), "left_anti", rows)
+    again = found.where("leads").groupBy("key", "digest").count().where("count > 1")
     if again.isEmpty():
-        return kept
-    digest = F.md5(F.encode(whole_text(text), "UTF-8"))
-    firsts = twice.groupBy(F.col(key).alias("_key"), digest.alias("_digest")).agg(
-        F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row")).select("_row.*")
-    return once.unionByName(firsts)
+        return kept.drop(d)
+    firsts = here(again, "left_semi", kept).groupBy(F.col(key).alias(k), d).agg(
+        F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
+    return here(again, "left_anti", kept).drop(d).unionByName(firsts)
