@@ -138,7 +138,7 @@ def test_nmf_recovers_a_low_rank_product(spark):
 
 
 def test_dictionary_learning_improves_and_is_sparse(emb):
-    f = R.dictionary_learning(emb, "v", 5, 0.3, rounds=8)
+    f = R.dictionary_learning(emb, "v", 5, 0.3, max_iter=8)
     assert f.losses[-1] < f.losses[0] and (np.linalg.norm(f.components, axis=1) <= 1 + 1e-9).all()
     assert (scores(emb, f) == 0).any()
 

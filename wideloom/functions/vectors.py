@@ -20,11 +20,46 @@ def unpack(vec: str, names: Sequence[str]) -> list[Column]:
 
 
 def to_matrix(column: pa.Array) -> np.ndarray:
-    """Arrow list column -> float64 matrix; no per-row Python objects."""
+    """Arrow list column -> float64 matrix; no per-row Python objects.
+
+    Vectors must be present and of one width; a null entry becomes NaN.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0))
+    if column.null_count:
+        raise ValueError(f"{column.null_count} null vectors: filter or fill them first")
+    size = np.diff(column.offsets.to_numpy())
+    if (size != size[0]).any():
+        raise ValueError(f"vectors of different widths ({size.min()} to {size.max()})")
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return np.asarray(flat, dtype=np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    return np.asarray(flat, dtype=np.float64).reshape(len(column), -1)
+
+
+def to_complete_matrix(column: pa.Array) -> np.ndarray:
+    """Like ``to_matrix``, but for fits: a null or NaN entry is an error, not a poisoned sum."""
+    m = to_matrix(column)
+    if np.isnan(m.sum()) and np.isnan(m).any():
+        raise ValueError("null or NaN entries in a vector column: impute them first")
+    return m
+
+
+def _complete_rows(column: pa.Array) -> tuple[pa.Array, np.ndarray | None]:
+    """The rows that have a vector without null entries, and which they are (None: all)."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not column.null_count and not column.flatten().null_count:
+        return column, None
+    ok = np.array([v is not None and None not in v for v in column.to_pylist()], bool)
+    return column.filter(pa.array(ok)), ok
+
+
+def _with_nulls(values: pa.Array, ok: np.ndarray | None) -> pa.Array:
+    if ok is None:
+        return values
+    at = np.cumsum(ok) - 1
+    return values.take(pa.array(np.where(ok, at, 0), mask=~ok))
 
 
 def from_matrix(m: np.ndarray) -> pa.Array:
@@ -34,22 +69,29 @@ def from_matrix(m: np.ndarray) -> pa.Array:
 
 
 def matrix_column(fn: Callable[[np.ndarray], np.ndarray], vec: str | Column) -> Column:
-    """Apply a batch function matrix -> matrix as a lazy column expression."""
+    """Apply a batch function matrix -> matrix as a lazy column expression; a null vector, or one
+    with a null entry, gives null."""
 
     @arrow_udf("array<double>")
     def run(x: pa.Array) -> pa.Array:
-        return from_matrix(fn(to_matrix(x))) if len(x) else pa.array([], pa.list_(pa.float64()))
+        x, ok = _complete_rows(x)
+        if not len(x):
+            return pa.nulls(0 if ok is None else len(ok), pa.list_(pa.float64()))
+        return _with_nulls(from_matrix(fn(to_matrix(x))), ok)
 
     return run(vec)
 
 
 def scalar_column(fn: Callable[[np.ndarray], np.ndarray], vec: str | Column, kind: str = "double") -> Column:
-    """Apply a batch function matrix -> vector as a lazy column expression."""
+    """Apply a batch function matrix -> vector as a lazy column expression; nulls as above."""
     arrow = {"double": pa.float64(), "int": pa.int32(), "bigint": pa.int64()}[kind]
 
     @arrow_udf(kind)
     def run(x: pa.Array) -> pa.Array:
-        return pa.array(np.asarray(fn(to_matrix(x))), type=arrow) if len(x) else pa.array([], arrow)
+        x, ok = _complete_rows(x)
+        if not len(x):
+            return pa.nulls(0 if ok is None else len(ok), arrow)
+        return _with_nulls(pa.array(np.asarray(fn(to_matrix(x))), type=arrow), ok)
 
     return run(vec)
 

@@ -9,6 +9,8 @@ algorithm's.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +32,13 @@ def similarity_graph(df: DataFrame, key: str, vec: str, neighbors: int, preferen
 
 
 def affinity_propagation(df: DataFrame, key: str, vec: str, damping: float = 0.5, max_iter: int = 200,
-                         convergence_iter: int = 15, neighbors: int = 20, preference: float | None = None
+                         convergence_iter: int = 15, *, neighbors: int, preference: float | None = None
                          ) -> DataFrame:
-    """(key, exemplar): each row's exemplar row."""
+    """(key, exemplar): each row's exemplar row.
+
+    The operator is the sparse algorithm: similarities beyond a row's ``neighbors`` nearest are
+    minus infinity, also for the median preference.
+    """
     e = similarity_graph(df, key, vec, neighbors, preference).select(
         "i", "k", "s", F.lit(0.0).alias("r"), F.lit(0.0).alias("a"))
     e = cut_lineage(e)
@@ -44,6 +50,8 @@ def affinity_propagation(df: DataFrame, key: str, vec: str, damping: float = 0.5
         before = now
         if stable >= convergence_iter:
             break
+    else:
+        warnings.warn(f"affinity propagation did not settle in {max_iter} rounds", stacklevel=2)
     return _exemplars(e).select(F.col("i").alias(key), F.col("k").alias("exemplar"))
 
 

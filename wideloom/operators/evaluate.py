@@ -78,8 +78,7 @@ def majority_map(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def align(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Cluster -> class map of each run.
 
-    Two classes and two clusters: the better of the two maps.  Up to eight clusters and no
-    more clusters than classes: the one-to-one map with the best accuracy.  Otherwise each
+    No more clusters than classes: the one-to-one map with the best accuracy.  Otherwise each
     cluster takes its majority class.
     """
     if not by:
@@ -87,7 +86,7 @@ def align(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
     sizes = cells.groupBy(*by).agg(F.count_distinct("label").alias("kc"), F.count_distinct("cluster").alias("kk"))
     tagged = cells.join(sizes, by)
-    small = (F.col("kk") <= F.col("kc")) & (F.col("kk") <= 8)
+    small = F.col("kk") <= F.col("kc")
     label_t, cluster_t = dict(cells.dtypes)["label"], dict(cells.dtypes)["cluster"]
     key_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in cells.schema.fields if f.name in by)
     schema = f"{key_schema}cluster {cluster_t}, mapped {label_t}"

@@ -9,10 +9,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wideloom.functions.samples import long_share
 from wideloom.functions.vectors import matrix_column
 from wideloom.operators.kmeans import KMeansModel, Spec, fit_many
 from wideloom.operators.neighbors import pair_distances
-from wideloom.operators.reduce import Gram, gram, landmarks
+from wideloom.operators.reduce import Gram, gram
 from wideloom.operators.rowsums import sum_rows
 
 LINKAGES = ("single", "complete", "average", "ward")
@@ -63,42 +64,41 @@ def merge_tree(dist: np.ndarray, sizes: np.ndarray, k: int, linkage: str) -> np.
     return np.array([order[g] for g in group])
 
 
-def micro_clusters(df: DataFrame, key: str, vec: str, m: int, rounds: int = 5) -> tuple[KMeansModel, np.ndarray, bool]:
+def micro_clusters(df: DataFrame, key: str, vec: str, m: int, rounds: int = 300) -> tuple[KMeansModel, np.ndarray]:
     """At most ``m`` centers standing for all rows, with their sizes, in order of the
-    smallest key they hold.  Exact (one center per distinct row) when m rows suffice."""
-    # A sketch decides first, so a large table is not shuffled by vector just to learn that
-    # it does not fit.
-    guess = df.agg(F.approx_count_distinct(F.xxhash64(vec), 0.02).alias("n")).first()["n"]
-    exact = False
-    if guess <= 1.2 * m + 10:
-        few = df.groupBy(F.col(vec).alias("v")).agg(F.min(key).alias("key")).orderBy("key").limit(m + 1).collect()
-        exact = len(few) <= m
-    if exact:
-        model = KMeansModel(np.array([r["v"] for r in few], float))
-    else:
-        start = np.unique(landmarks(df, key, vec, m), axis=0)
-        model = fit_many(df, key, vec, {"m": Spec(len(start), 1, init=start)}, rounds)["m"]
+    smallest key they hold.
+
+    One path at every size: ``m`` distinct rows (the lowest by hashed vector) start a k-means that
+    runs to convergence.  With ``m`` distinct rows or fewer, each is its own center.
+    """
+    code = F.xxhash64(F.col(vec), F.lit(42))
+    data = df.where(F.col(vec).isNotNull())
+    guess = data.agg(F.approx_count_distinct(code, 0.02)).first()[0]
+    cut = 1.2 * (m + 8 * m ** 0.5 + 16) / max(1, guess)
+    few = data if cut >= 1 else data.where(long_share(code) < cut)
+    rows = few.groupBy(F.col(vec).alias("v")).agg(F.min(code).alias("c")).orderBy("c", "v").limit(m).collect()
+    start = np.array([r["v"] for r in rows], float)
+    model = fit_many(df, key, vec, {"m": Spec(len(start), 1, init=start)}, rounds)["m"]
     size = sum_rows(df, [vec], lambda x: [np.bincount(model.distances(x).argmin(axis=1), minlength=len(model.centers)
                                                      ).astype(float)])[0]
     keep = size > 0
     model.centers, size = model.centers[keep], size[keep]
-    if not exact:
-        firsts = {r["j"]: r["k"] for r in df.select(model.column(vec).alias("j"), F.col(key).alias("k")).groupBy("j").agg(
-            F.min("k").alias("k")).collect()}
-        order = np.argsort([firsts.get(j, float("inf")) for j in range(len(size))], kind="stable")
-        model.centers, size = model.centers[order], size[order]
-    return model, size, exact
+    firsts = {r["j"]: r["k"] for r in df.select(model.column(vec).alias("j"), F.col(key).alias("k")).groupBy("j").agg(
+        F.min("k").alias("k")).collect()}
+    order = np.argsort([firsts.get(j, float("inf")) for j in range(len(size))], kind="stable")
+    model.centers, size = model.centers[order], size[order]
+    return model, size
 
 
 def agglomerative(df: DataFrame, key: str, vec: str, k: int, linkage: str = "ward", max_micro: int = 512,
                   out: str = "cluster") -> DataFrame:
-    """Agglomerative clustering; rows follow their micro-cluster.
+    """Agglomerative clustering in two stages; rows follow their micro-cluster.
 
-    Exact for up to ``max_micro`` distinct rows.  Beyond that Ward merging is exact for
-    the micro-cluster partition (it needs only sizes and centers); the other linkages
-    measure between centers.
+    ``max_micro`` is the resolution of the first stage.  Ward merging is exact for the
+    micro-cluster partition (it needs only sizes and centers); the other linkages measure
+    between centers.  With no more distinct rows than micro-clusters all are exact.
     """
-    model, sizes, _ = micro_clusters(df, key, vec, max_micro)
+    model, sizes = micro_clusters(df, key, vec, max_micro)
     return _label_by_micro(df, vec, model, micro_tree(model.centers, sizes, k, linkage), out)
 
 

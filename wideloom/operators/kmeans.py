@@ -7,6 +7,7 @@ scan of the rows per round serves every run that has not converged yet.  A task
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -74,6 +75,7 @@ class KMeansModel:
     weights: np.ndarray | None = None
     inertia: float = float("nan")
     rounds: int = 0
+    converged: bool = True
 
     @property
     def dims(self) -> int:
@@ -118,7 +120,7 @@ class _Run:
     stats: dict = field(default_factory=dict)
 
     def model(self) -> KMeansModel:
-        return KMeansModel(self.centers, self.spec.metric, self.weights, self.inertia, self.rounds)
+        return KMeansModel(self.centers, self.spec.metric, self.weights, self.inertia, self.rounds, self.done)
 
 
 def _views(runs: Sequence[_Run]) -> list[KMeansModel]:
@@ -376,6 +378,9 @@ def fit_many(df: DataFrame, key: str, vec: str, specs: dict[str, Spec], max_iter
                     r.done = np.linalg.norm(moved) < (1e-4 if tol is None else tol)
                 r.prev_cost = total
         _assign_stats(data, "v", runs, None, 1)
+        late = sum(not r.done for r in runs)
+        if late:
+            warnings.warn(f"{late} of {len(runs)} k-means runs did not converge in {max_iter} rounds", stacklevel=2)
         best: dict[str, KMeansModel] = {}
         for r in runs:
             r.inertia = float(r.stats["cost"].sum())

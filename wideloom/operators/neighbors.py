@@ -21,6 +21,7 @@ from pyspark.sql.functions import arrow_udf
 
 from wideloom.functions.vectors import from_matrix, to_matrix
 from wideloom.operators.reduce import landmarks
+from wideloom.session import cut_lineage
 
 BLOCK = 2048
 MAX_PIVOTS = 512
@@ -169,7 +170,7 @@ def nearest_neighbors(df: DataFrame, key: str, vec: str, k: int, rows: int | Non
                   max(1, n // (block * len(pivots))))
     if len(pivots) == 1:
         return first
-    first = first.persist()
+    first = cut_lineage(first)  # read twice
     radius = first.groupBy("key").agg(F.count("*").alias("found"), F.max("distance").alias("far"))
     reach = df.select(F.col(key).alias("key"), F.col(vec).alias("vec")).join(radius, "key", "left").withColumn(
         "reach", F.when(F.col("found") >= k, F.col("far")).otherwise(F.lit(1e300)))

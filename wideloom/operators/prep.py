@@ -107,13 +107,16 @@ def fit_yeo_johnson(
     """Per-column maximum-likelihood lambda by grid refinement, then standardised.
 
     Each round scores a whole lambda grid for every column in one pass over the rows; the
-    bracket shrinks tenfold per round.
+    bracket shrinks tenfold per round.  While the best value is at an end of a bracket that has not
+    shrunk yet, the bracket widens instead.
     """
     cols = list(cols)
     vec = df.where(~F.exists(pack(cols), lambda x: x.isNull() | F.isnan(x))).select(pack(cols).alias("v"))
     shape = (len(cols), points)
     lo, hi = np.full(len(cols), low), np.full(len(cols), high)
-    for _ in range(rounds):
+    shrunk, done = np.zeros(len(cols), int), 0
+    while done < rounds + 20 and (shrunk < rounds).any():
+        done += 1
         grid = np.linspace(lo, hi, points, axis=1)
         pilot = np.array([[_yj(np.zeros(1), g)[0] for g in row] for row in grid])
 
@@ -132,7 +135,10 @@ def fit_yeo_johnson(
         best = ll.argmax(axis=1)
         rows = np.arange(len(cols))
         width = (hi - lo) / (points - 1)
-        lo, hi = grid[rows, best] - width, grid[rows, best] + width
+        edge = (shrunk == 0) & ((best == 0) | (best == points - 1)) & (np.abs(grid[rows, best]) < 1000)
+        wide = np.where(edge, hi - lo, width)
+        lo, hi = grid[rows, best] - wide, grid[rows, best] + wide
+        shrunk = shrunk + ~edge
     lam = (lo + hi) / 2
     power = yeo_johnson_fixed(dict(zip(cols, map(float, lam))))
     tall = scale(power.transform(df), cols, "standard")
@@ -142,15 +148,13 @@ def fit_yeo_johnson(
 
 # ---- outliers ----------------------------------------------------------------------
 
-def _z_bounds(df: DataFrame, cols: Sequence[str], t: float) -> dict[str, tuple[float, float]]:
-    st = _stats(df, cols, mean=F.avg, sd=F.stddev_pop)
-    return {c: (v["mean"] - t * v["sd"], v["mean"] + t * v["sd"]) for c, v in st.items() if v["sd"] is not None}
-
-
 def outlier_mask(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, out: str = "is_outlier") -> DataFrame:
     """Row flag: any feature with ``|x - mean| / std > threshold`` (ddof 0).  Constant
     columns and missing values never flag a row."""
-    st = _stats(df, cols, mean=F.avg, sd=F.stddev_pop)
+    return _flagged(df, _stats(df, cols, mean=F.avg, sd=F.stddev_pop), threshold, out)
+
+
+def _flagged(df: DataFrame, st: dict, threshold: float, out: str) -> DataFrame:
     hit = F.lit(False)
     for c, v in st.items():
         if v["sd"]:
@@ -164,14 +168,16 @@ def handle_outliers(
 ) -> DataFrame:
     """``none`` flags; ``remove`` drops flagged rows when they are under ``max_share`` of
     all rows, else keeps everything; ``winsorize`` clips to mean +- threshold * std."""
-    flagged = outlier_mask(df, cols, threshold)
+    st = _stats(df, cols, mean=F.avg, sd=F.stddev_pop)
+    flagged = _flagged(df, st, threshold, "is_outlier")
     if method == "none":
         return flagged
     if method == "remove":
         n, bad = flagged.agg(F.count("*"), F.count_if("is_outlier")).first()
         return flagged.where(~F.col("is_outlier")) if bad < n * max_share else flagged
     if method == "winsorize":
-        bounds = _z_bounds(df, cols, threshold)
+        bounds = {c: (v["mean"] - threshold * v["sd"], v["mean"] + threshold * v["sd"])
+                  for c, v in st.items() if v["sd"] is not None}
         return flagged.withColumns({
             c: F.least(F.greatest(S.clean(F.col(c)), F.lit(lo)), F.lit(hi)) for c, (lo, hi) in bounds.items()})
     raise ValueError(f"unknown outlier handling {method!r}")

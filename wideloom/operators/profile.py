@@ -6,6 +6,7 @@ import itertools
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from wideloom.functions.moments import moments_long
 from wideloom.functions.vectors import pack
 from wideloom.operators.quantiles import exact_quantiles
 from wideloom.operators.ranks import cumulative, melt
-from wideloom.operators.reduce import gram
+from wideloom.operators.rowsums import sum_rows
 from wideloom.session import cut_lineage
 
 CHUNK = 300
@@ -174,38 +175,48 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], group: str, first, second)
 
 
 def correlations(df: DataFrame, cols: Sequence[str], how: str = "corr") -> DataFrame:
-    """Upper triangle of the correlation (or ``covar_samp``) matrix as (a, b, value)."""
-    fn = {"corr": F.corr, "cov": F.covar_samp}[how]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 if how == "corr" else i:]]
-    if len(pairs) > MATRIX_PAIRS and _complete(df, cols):
-        g = gram(df.select(pack(cols).alias("v")), "v")
-        m = g.corr if how == "corr" else g.cov
-        at = {c: i for i, c in enumerate(cols)}
-        return df.sparkSession.createDataFrame(
-            [(a, b, float(m[at[a], at[b]])) for a, b in pairs], "a string, b string, value double")
-    frames = []
-    for at in range(0, len(pairs), CHUNK):
-        part = pairs[at:at + CHUNK]
-        one = df.agg(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                fn(F.col(a).cast("double"), F.col(b).cast("double")).alias("value")).alias(f"s{i}")
-                       for i, (a, b) in enumerate(part)])
-        frames.append(one.select(F.explode(F.array(*[f"s{i}" for i in range(len(part))])).alias("s")).select("s.*"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-MATRIX_PAIRS = 40  # beyond this one Gram pass beats one aggregate per pair
+    """Upper triangle of the correlation (or sample covariance) matrix as (a, b, value).
 
-
-def _complete(df: DataFrame, cols: Sequence[str]) -> bool:
-    """No missing value in any column, so every pair shares the same rows."""
-    return df.where(F.exists(pack(cols), lambda x: x.isNull() | F.isnan(x))).isEmpty()
+    One pass for any number of columns: each pair sums over the rows that have both values.  A
+    correlation with a constant column, and any pair with fewer than two rows, is null.
+    """
+    if how not in ("corr", "cov"):
+        raise ValueError(f"unknown matrix {how!r}")
+    cols = list(cols)
+    pilot = np.array([0.0 if v is None else v for v in df.limit(64).agg(*[F.avg(S.clean(F.col(c))) for c in cols]).first()])
+
+    def part(x):
+        m = ~np.isnan(x)
+        z, m = np.where(m, x - pilot, 0.0), m.astype(float)
+        low = np.fmin.reduce(x, axis=0, initial=np.inf)
+        high = np.fmax.reduce(x, axis=0, initial=-np.inf)
+        return m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z, low, high
+
+    def merge(a, b):
+        return [*[x + y for x, y in zip(a[:4], b[:4])], np.minimum(a[4], b[4]), np.maximum(a[5], b[5])]
+
+    rows = []
+    try:
+        n, s, q, xy, low, high = sum_rows(df.select(pack([S.clean(F.col(c)) for c in cols]).alias("v")), ["v"], part, merge,
+                                          numbers=4 * len(cols) ** 2, complete=False)
+    except ValueError:  # no rows
+        n = None
+    for i, a in enumerate(cols):
+        for j in range(i + 1 if how == "corr" else i, len(cols)):
+            value = None
+            if n is not None and n[i, j] >= 2:
+                c = xy[i, j] - s[i, j] * s[j, i] / n[i, j]
+                if how == "cov":
+                    value = float(c / (n[i, j] - 1))
+                elif low[i] < high[i] and low[j] < high[j]:
+                    spread = (q[i, j] - s[i, j] ** 2 / n[i, j]) * (q[j, i] - s[j, i] ** 2 / n[i, j])
+                    value = float(np.clip(c / np.sqrt(spread), -1, 1)) if spread > 0 else None
+            rows.append((a, cols[j], value))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, value double")
 
 
 def top_correlated_pairs(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
-    return correlations(df, cols).orderBy(F.desc(F.abs("value")), "a", "b").limit(k)
+    return correlations(df, cols).where("value IS NOT NULL").orderBy(F.desc(F.abs("value")), "a", "b").limit(k)
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
@@ -225,14 +236,14 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
     return one.select(F.explode(F.array(*[f"s{i}" for i in range(len(items))])).alias("s")).select("s.*")
 
 
-def preprocessing_advice(df: DataFrame, cols: Sequence[str], outlier_cols: int = 20) -> DataFrame:
-    """One row: highly and moderately skewed features, outlier flag, scaler to use."""
+def preprocessing_advice(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: highly and moderately skewed features, outlier flag over all columns, scaler to use."""
     skew = skew_buckets(df, cols).groupBy().agg(
         F.array_join(F.sort_array(F.collect_list(F.when(F.col("bucket") == "high", F.col("feature")))), ",")
         .alias("highly_skewed"),
         F.array_join(F.sort_array(F.collect_list(F.when(F.col("bucket") == "moderate", F.col("feature")))), ",")
         .alias("moderately_skewed"))
-    out = iqr_outliers(df, list(cols)[:outlier_cols]).agg((F.sum("outliers") > 0).alias("has_outliers"))
+    out = iqr_outliers(df, list(cols)).agg((F.sum("outliers") > 0).alias("has_outliers"))
     return skew.withColumn("has_outliers", out.scalar()).withColumn(
         "scaler", F.when(F.col("has_outliers"), "robust").otherwise("standard"))
 

@@ -6,6 +6,7 @@ driver and comes back as one broadcast matrix multiply per Arrow batch.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wideloom.functions.samples import long_share, lowest
 from wideloom.functions.vectors import matrix_column, width
 from wideloom.operators.rowsums import sum_rows
 
@@ -37,6 +39,17 @@ class Gram:
         return self.scatter / np.outer(np.where(d > 0, d, 1), np.where(d > 0, d, 1))
 
 
+def _head(df: DataFrame, vec: str, rows: int = 64) -> np.ndarray:
+    """A few complete rows, only to shift sums by."""
+    got = [r[0] for r in df.select(vec).take(rows)]
+    if not got:
+        raise ValueError("no rows to fit on")
+    got = [v for v in got if v is not None and None not in v and not np.isnan(v).any()]
+    if not got or len({len(v) for v in got}) > 1:
+        raise ValueError("null, incomplete or unequal vectors: impute or filter them first")
+    return np.array(got, dtype=np.float64)
+
+
 def gram(df: DataFrame, vec: str, pre: Callable[[np.ndarray], np.ndarray] | None = None) -> Gram:
     """Count, mean and scatter matrix in one pass.
 
@@ -44,26 +57,21 @@ def gram(df: DataFrame, vec: str, pre: Callable[[np.ndarray], np.ndarray] | None
     does not cancel away the variance; the result does not depend on the pilot.
     ``pre`` is an optional batch transform applied inside the pass.
     """
-    head = np.array([r[0] for r in df.select(vec).take(64)], dtype=np.float64)
-    if head.size == 0:
-        raise ValueError("no rows to fit on")
+    head = _head(df, vec)
     pilot = (pre(head) if pre else head).mean(axis=0)
 
     def part(x):
         z = (pre(x) if pre else x) - pilot
         return np.array([float(len(z))]), z.sum(axis=0), z.T @ z
 
-    n, s, m2 = sum_rows(df, [vec], part)
+    n, s, m2 = sum_rows(df, [vec], part, numbers=len(pilot) ** 2)
     n = float(n[0])
     return Gram(n, pilot + s / n, m2 - np.outer(s, s) / n)
 
 
 def gram_diagonal(df: DataFrame, vec: str) -> tuple[np.ndarray, np.ndarray]:
     """Mean and population variance per entry in one pass."""
-    head = np.array([r[0] for r in df.select(vec).take(64)], dtype=np.float64)
-    if head.size == 0:
-        raise ValueError("no rows to fit on")
-    pilot = head.mean(axis=0)
+    pilot = _head(df, vec).mean(axis=0)
     n, s, q = sum_rows(df, [vec], lambda x: (np.array([float(len(x))]), (x - pilot).sum(0), ((x - pilot) ** 2).sum(0)))
     m = s / n
     mean, var = pilot + m, np.maximum(q / n - m * m, 0)
@@ -298,45 +306,51 @@ def kernel_matrix(x: np.ndarray, y: np.ndarray, kernel: str, gamma: float, degre
 
 
 @dataclass
-class KernelPCA:
-    """Nystrom kernel PCA on landmark rows; exact when every row is a landmark."""
-
-    landmarks: np.ndarray
-    col_mean: np.ndarray
-    all_mean: float
-    vectors: np.ndarray
-    values: np.ndarray
-    kernel: str
-    gamma: float
-
-    def column(self, vec: str | Column) -> Column:
-        lm, cm, am, v, kern, gam = (self.landmarks, self.col_mean, self.all_mean, self.vectors, self.kernel, self.gamma)
-
-        def project(x):
-            k = kernel_matrix(x, lm, kern, gam)
-            return (k - k.mean(axis=1, keepdims=True) - cm + am) @ v
+class KernelPCA(Projection):
+    """Kernel PCA as a PCA of explicit features of every row."""
 
-        return matrix_column(project, vec)
-
-    def transform(self, df: DataFrame, vec: str, out: str) -> DataFrame:
-        return df.withColumn(out, self.column(vec))
+    kernel: str = "rbf"
+    gamma: float = 1.0
+    landmarks: np.ndarray | None = None  # None: the kernel has exact features of its own
 
 
 def landmarks(df: DataFrame, key: str, vec: str, m: int, seed: int = 42) -> np.ndarray:
-    """Up to ``m`` rows, a top-m by hashed key: the same rows on every run."""
-    rows = df.select(key, vec).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(m).select(vec).collect()
+    """Up to ``m`` rows, the lowest by hashed key: the same rows on every run."""
+    code = F.xxhash64(F.col(key), F.lit(seed))
+    data = df.where(F.col(vec).isNotNull()).select(key, vec)
+    rows = lowest(data, long_share(code), [code, key], m).select(vec).collect()
     return np.array([r[0] for r in rows], dtype=np.float64)
 
 
+def _unit_rows(x: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(x, axis=1)
+    return x / np.where(norm > 0, norm, 1)[:, None]
+
+
 def kernel_pca(df: DataFrame, key: str, vec: str, k: int, kernel: str = "rbf", gamma: float | None = None,
                max_landmarks: int = 1000, seed: int = 42) -> KernelPCA:
-    lm = landmarks(df, key, vec, max_landmarks, seed)
-    gamma = 1.0 / lm.shape[1] if gamma is None else gamma
-    km = kernel_matrix(lm, lm, kernel, gamma)
-    cm, am = km.mean(axis=0), float(km.mean())
-    w, v = _eigen(km - cm[None, :] - cm[:, None] + am)
+    """Kernel PCA over all rows.
+
+    The linear and cosine kernels are inner products of the rows and of the unit rows, so a Gram
+    matrix of those is exact.  The other kernels get Nystrom features ``k(x, landmarks) K^(-1/2)``,
+    which reproduce the kernel among the landmarks (all of it when every row is one);
+    ``max_landmarks`` is their number, means and components come from all rows.
+    """
+    if kernel in ("linear", "cosine"):
+        pre, lm, gamma = (_unit_rows if kernel == "cosine" else None), None, 1.0 if gamma is None else gamma
+    else:
+        lm = np.unique(landmarks(df, key, vec, max_landmarks, seed), axis=0)
+        if not lm.size:
+            raise ValueError("no rows to fit on")
+        gamma = 1.0 / lm.shape[1] if gamma is None else gamma
+        w, v = np.linalg.eigh(kernel_matrix(lm, lm, kernel, gamma))
+        on = w > 1e-10 * max(w.max(), 1e-300)  # the sigmoid kernel has negative directions: left out
+        root = v[:, on] / np.sqrt(w[on])
+        pre = lambda x: kernel_matrix(x, lm, kernel, gamma) @ root
+    g = gram(df, vec, pre)
+    w, v = _eigen(g.scatter)
     k = min(k, int((w > 1e-10 * max(w[0], 1e-300)).sum()))
-    return KernelPCA(lm, cm, am, v[:, :k] / np.sqrt(w[:k]), w[:k], kernel, gamma)
+    return KernelPCA(g.mean, v[:, :k], w[:k], None, pre, kernel, gamma, lm)
 
 
 # ---- ICA, NMF, dictionary learning --------------------------------------------------------
@@ -344,6 +358,7 @@ def kernel_pca(df: DataFrame, key: str, vec: str, k: int, kernel: str = "rbf", g
 @dataclass
 class ICA(Projection):
     rounds: int = 0
+    converged: bool = False
 
 
 def ica(df: DataFrame, vec: str, k: int, max_iter: int = 200, tol: float = 1e-4, seed: int = 42) -> ICA:
@@ -359,7 +374,7 @@ def ica(df: DataFrame, vec: str, k: int, max_iter: int = 200, tol: float = 1e-4,
         return u @ vt
 
     w = decorrelate(np.random.default_rng(seed).normal(size=(k, k)))
-    rounds = 0
+    rounds, change = 0, np.inf
     for rounds in range(1, max_iter + 1):
         def part(x, w=w):
             z = (x - mean) @ m
@@ -372,7 +387,9 @@ def ica(df: DataFrame, vec: str, k: int, max_iter: int = 200, tol: float = 1e-4,
         w = new
         if change < tol:
             break
-    return ICA(mean, m @ w.T, rounds=rounds)
+    else:
+        warnings.warn(f"ICA did not converge in {max_iter} rounds", stacklevel=2)
+    return ICA(mean, m @ w.T, rounds=rounds, converged=bool(change < tol))
 
 
 def _nonneg_codes(x: np.ndarray, h: np.ndarray, sweeps: int) -> np.ndarray:
@@ -391,12 +408,13 @@ class Factorisation:
     components: np.ndarray
     losses: list[float]
     codes: Callable[[np.ndarray], np.ndarray]
+    converged: bool = False
 
     def transform(self, df: DataFrame, vec: str, out: str) -> DataFrame:
         return df.withColumn(out, matrix_column(self.codes, vec))
 
 
-def nmf(df: DataFrame, vec: str, k: int, max_iter: int = 30, tol: float = 1e-4, seed: int = 42, sweeps: int = 30,
+def nmf(df: DataFrame, vec: str, k: int, max_iter: int = 200, tol: float = 1e-4, seed: int = 42, sweeps: int = 30,
         ) -> Factorisation:
     """Non-negative factorisation of max(0, X).
 
@@ -408,6 +426,7 @@ def nmf(df: DataFrame, vec: str, k: int, max_iter: int = 30, tol: float = 1e-4,
     level = np.sqrt(max(total.mean() / n[0], 1e-12) / k)
     h = np.abs(np.random.default_rng(seed).normal(size=(k, len(total)))) * level + 1e-6
     losses: list[float] = []
+    converged = False
     for _ in range(max_iter):
         def part(x, h=h):
             x = np.maximum(x, 0)
@@ -416,7 +435,8 @@ def nmf(df: DataFrame, vec: str, k: int, max_iter: int = 30, tol: float = 1e-4,
 
         wx, ww, loss = sum_rows(df, [vec], part)
         losses.append(float(loss[0]))
-        if len(losses) > 1 and losses[-2] - losses[-1] <= tol * max(float(sq[0]), 1e-300):
+        converged = len(losses) > 1 and losses[-2] - losses[-1] <= tol * max(float(sq[0]), 1e-300)
+        if converged:
             break
         new = h.copy()
         for _ in range(10):
@@ -425,7 +445,9 @@ def nmf(df: DataFrame, vec: str, k: int, max_iter: int = 30, tol: float = 1e-4,
                     new[j] = np.maximum(new[j] + (wx[j] - ww[j] @ new) / ww[j, j], 0)
         h = new
     final = h
-    return Factorisation(final, losses, lambda x: _nonneg_codes(np.maximum(x, 0), final, sweeps))
+    if not converged:
+        warnings.warn(f"NMF did not converge in {max_iter} rounds", stacklevel=2)
+    return Factorisation(final, losses, lambda x: _nonneg_codes(np.maximum(x, 0), final, sweeps), converged)
 
 
 def _sparse_codes(x: np.ndarray, d: np.ndarray, alpha: float, sweeps: int) -> np.ndarray:
@@ -439,11 +461,12 @@ def _sparse_codes(x: np.ndarray, d: np.ndarray, alpha: float, sweeps: int) -> np
     return a
 
 
-def dictionary_learning(df: DataFrame, vec: str, k: int, alpha: float = 1.0, rounds: int = 10, seed: int = 42,
-                        sweeps: int = 30) -> Factorisation:
+def dictionary_learning(df: DataFrame, vec: str, k: int, alpha: float = 1.0, max_iter: int = 200, seed: int = 42,
+                        sweeps: int = 30, tol: float = 1e-4) -> Factorisation:
     """Sparse coding of the data shifted to be non-negative; unit-norm atoms.
 
-    Each round codes every row against the broadcast atoms and aggregates A'A and A'X.
+    Each round codes every row against the broadcast atoms and aggregates A'A and A'X.  It ends
+    when a round lowers the loss by less than ``tol`` of it.
     """
     low = min(0.0, float(df.agg(F.min(F.array_min(vec))).first()[0]))
     mean, n = sum_rows(df, [vec], lambda x: ((x - low).sum(axis=0), np.array([float(len(x))])))
@@ -451,7 +474,8 @@ def dictionary_learning(df: DataFrame, vec: str, k: int, alpha: float = 1.0, rou
     d = np.maximum(mean / n[0], 1e-9) * rng.uniform(0.5, 1.5, size=(k, len(mean)))
     d /= np.linalg.norm(d, axis=1, keepdims=True)
     losses: list[float] = []
-    for _ in range(rounds):
+    converged = False
+    for _ in range(max_iter):
         def part(x, d=d):
             x = x - low
             a = _sparse_codes(x, d, alpha, sweeps)
@@ -459,6 +483,9 @@ def dictionary_learning(df: DataFrame, vec: str, k: int, alpha: float = 1.0, rou
 
         aa, ax, loss = sum_rows(df, [vec], part)
         losses.append(float(loss[0]))
+        converged = len(losses) > 1 and losses[-2] - losses[-1] <= tol * losses[-2]
+        if converged:
+            break
         new = d.copy()
         for _ in range(5):
             for j in range(k):
@@ -467,7 +494,9 @@ def dictionary_learning(df: DataFrame, vec: str, k: int, alpha: float = 1.0, rou
                     new[j] = atom / max(np.linalg.norm(atom), 1.0)
         d = new
     final = d
-    return Factorisation(final, losses, lambda x: _sparse_codes(x - low, final, alpha, sweeps))
+    if not converged:
+        warnings.warn(f"dictionary learning did not converge in {max_iter} rounds", stacklevel=2)
+    return Factorisation(final, losses, lambda x: _sparse_codes(x - low, final, alpha, sweeps), converged)
 
 
 # ---- dispatch ---------------------------------------------------------------------------------

@@ -2,8 +2,9 @@
 
 Nearly every fit in this package is "sum some small arrays over all rows": Gram
 matrices, centroids, EM statistics, histograms.  Each task folds its Arrow batches
-into one set of arrays with NumPy; only those partial sums move, first to about
-sqrt(tasks) reducers and then, already small in number, to the driver.
+into one set of arrays with NumPy; only those partial sums move.  The scan keeps all its
+tasks.  Many or large partial sums go to about sqrt(tasks) reducers first and reach the
+driver already few in number.
 """
 
 from __future__ import annotations
@@ -18,20 +19,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from wideloom.functions.vectors import to_matrix
-from wideloom.session import cores
+from wideloom.functions.vectors import to_complete_matrix, to_matrix
 
-DIRECT = 64  # partial sums taken straight to the driver up to this many tasks
+DIRECT = 64  # partial sums taken straight to the driver up to this many tasks ...
+DIRECT_BYTES = 128 << 20  # ... and this many bytes in all
 
 CHUNK = 1 << 18  # numbers per partial row: wide Gram matrices travel in 2 MB pieces
 
 PARTIAL = "slot int, chunk int, shapes string, body binary"
 
 
-def _column(batch: pa.RecordBatch, i: int) -> np.ndarray:
+def _column(batch: pa.RecordBatch, i: int, complete: bool) -> np.ndarray:
     col = batch.column(i)
     if pa.types.is_list(col.type):
-        return to_matrix(col)
+        return to_complete_matrix(col) if complete else to_matrix(col)
     return col.to_numpy(zero_copy_only=False)
 
 
@@ -74,16 +75,33 @@ def keep_smallest(a: Arrays, b: Arrays) -> Arrays:
     return [np.where(take.reshape(take.shape + (1,) * (x.ndim - take.ndim)), y, x) for x, y in zip(a, b)]
 
 
+def task_count(df: DataFrame) -> int:
+    """How many tasks the last stage of ``df`` has, or at most has.
+
+    A plan that still has to shuffle is not run to find out: it has at most the configured
+    number of shuffle partitions.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "InMemoryTableScan" not in plan and "Exchange" in plan:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, df.rdd.getNumPartitions())
+
+
 def sum_rows(
-    df: DataFrame, columns: Sequence[str], fn: Callable[..., Arrays], merge: Callable[[Arrays, Arrays], Arrays] = add
+    df: DataFrame, columns: Sequence[str], fn: Callable[..., Arrays], merge: Callable[[Arrays, Arrays], Arrays] = add,
+    numbers: int = 100_000, complete: bool = True,
 ) -> list[np.ndarray]:
     """Fold ``fn(*column_arrays)`` over all batches of ``df``; by default a sum.
 
     Vector columns reach ``fn`` as matrices, scalar columns as 1-d arrays.  ``merge`` must
-    be associative and commutative.
+    be associative and commutative.  ``numbers`` is about how many numbers one result has.
+    Null vectors and unequal widths raise, and so do missing entries unless ``complete`` is false
+    (they are NaN then).
     """
-    tasks = 2 * cores(df.sparkSession)
+    picked = df.select(*columns)
+    tasks = task_count(picked)
     fan = max(1, math.isqrt(tasks))
+    direct = tasks <= DIRECT and 8 * tasks * numbers <= DIRECT_BYTES
     whole = merge is not add  # only element-wise sums may travel in pieces
 
     def fold(batches):
@@ -91,7 +109,7 @@ def sum_rows(
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            part = [np.asarray(a, np.float64) for a in fn(*[_column(batch, i) for i in range(len(columns))])]
+            part = [np.asarray(a, np.float64) for a in fn(*[_column(batch, i, complete) for i in range(len(columns))])]
             total = part if total is None else merge(total, part)
         if total is not None:
             rows = _pack(TaskContext.get().partitionId() % fan, total, whole)
@@ -105,11 +123,11 @@ def sum_rows(
             total = part if total is None else merge(total, part)
         return pd.DataFrame(_pack(int(pdf["slot"].iloc[0]), total, True))
 
-    partial = df.select(*columns).coalesce(tasks).mapInArrow(fold, PARTIAL)
-    if tasks > DIRECT:
+    partial = picked.mapInArrow(fold, PARTIAL)
+    if not direct:
         partial = partial.groupBy("slot").applyInPandas(merge_slot, PARTIAL) if whole else \
             partial.groupBy("slot", "chunk").applyInPandas(_sum_chunk, PARTIAL)
-    rows = partial.toLocalIterator() if tasks > DIRECT else partial.collect()
+    rows = partial.collect() if direct else partial.toLocalIterator()
     if whole:
         total = None
         for row in rows:

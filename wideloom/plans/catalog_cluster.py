@@ -136,7 +136,7 @@ def _gmm(kind):
     @query(f"gmm_{kind}")
     def _(spark, table):
         z = _z(table, 5)
-        m = G.gmm(z, "vec_id", "z", 3, kind, max_iter=30)
+        m = G.gmm(z, "vec_id", "z", 3, kind)
         p = z.withColumn("p", m.predict_proba("z"))
         return p.select("vec_id", m.predict("z").alias("cluster"), *[rnd(F.col("p")[j]).alias(f"p{j}") for j in range(3)],
                         rnd(m.score_samples("z")).alias("log_likelihood"))
@@ -185,7 +185,7 @@ def _(spark, table):
 @query("gmm_component_search")
 def _(spark, table):
     z = _z(table, 3)
-    return rounded(G.best_component_count(z, "vec_id", "z", 5, "bic", 2, 30)[1], "score", digits=3)
+    return rounded(G.best_component_count(z, "vec_id", "z", 5, "bic")[1], "score", digits=3)
 
 
 @query("gmm_top_two", f"""
@@ -261,7 +261,13 @@ for _l in H.LINKAGES:
 
 @query("mean_shift")
 def _(spark, table):
-    return MS.mean_shift(_z(table, 3), "vec_id", "z", max_iter=60)[0].select("vec_id", "cluster")
+    return MS.mean_shift(_z(table, 3), "vec_id", "z")[0].select("vec_id", "cluster")
+
+
+@query("mean_shift_bandwidth", f"""
+SELECT round(sqrt(2 * sum(v)) / 2, 9) + 0.0 AS bandwidth FROM (SELECT var_samp(x) AS v FROM {EMB_LONG} GROUP BY i)""")
+def _(spark, table):
+    return rounded(spark.createDataFrame([(MS.estimate_bandwidth(embeddings(table), "v"),)], "bandwidth double"), "bandwidth", digits=9)
 
 
 @query("mean_shift_step", f"""
@@ -530,43 +536,42 @@ def _(spark, table):
 
 @query("component_sweep")
 def _(spark, table):
-    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31), max_iter=20), *SCORES)
+    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31)), *SCORES)
 
 
 @query("whitening_sweep")
 def _(spark, table):
-    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31), "hybrid", max_iter=20), *SCORES)
+    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31), "hybrid"), *SCORES)
 
 
 @query("optimal_k_silhouette")
 def _(spark, table):
-    return rounded(SW.optimal_k(_z(table, 5), "vec_id", "z", 8, n_init=3, max_iter=30)[1], "score")
+    return rounded(SW.optimal_k(_z(table, 5), "vec_id", "z", 8)[1], "score")
 
 
 @query("optimal_k_elbow")
 def _(spark, table):
-    return rounded(SW.optimal_k(_z(table, 5), "vec_id", "z", 8, "elbow", n_init=3, max_iter=30)[1], "score")
+    return rounded(SW.optimal_k(_z(table, 5), "vec_id", "z", 8, "elbow")[1], "score")
 
 
 @query("reduction_grid")
 def _(spark, table):
-    return rounded(SW.reduction_grid(embeddings(table), "vec_id", "v", 10, ("pca", "kernel_pca", "truncated_svd"), (2, 5, 10, 20),
-                                     3, 20), "silhouette")
+    return rounded(SW.reduction_grid(embeddings(table), "vec_id", "v", 10), "silhouette")
 
 
 @query("kmeans_variants")
 def _(spark, table):
-    return rounded(SW.kmeans_variants(_z(table), "vec_id", "z", "label", 2, 3, 3, max_iter=10)[0], *SCORES)
+    return rounded(SW.kmeans_variants(_z(table), "vec_id", "z", "label", 2)[0], *SCORES)
 
 
 @query("kmeans_against_gmm")
 def _(spark, table):
-    return rounded(SW.kmeans_against_gmm(_z(table, 5), "vec_id", "z", "label", 3, 3, max_iter=30), *SCORES)
+    return rounded(SW.kmeans_against_gmm(_z(table, 5), "vec_id", "z", "label", 3), *SCORES)
 
 
 @query("gmm_with_binary")
 def _(spark, table):
-    return rounded(SW.gmm_with_binary(_z(table, 2), "vec_id", "z", "label", 4, 2, 30), *SCORES)
+    return rounded(SW.gmm_with_binary(_z(table, 2), "vec_id", "z", "label", 4), *SCORES)
 
 
 @query("many_algorithms")
@@ -585,7 +590,7 @@ def _(spark, table):
 @query("reduction_by_clustering")
 def _(spark, table):
     out = SW.reduction_by_clustering(embeddings(table), "vec_id", "v", "label", 5, 3, ("standard_pca", "truncated_svd"),
-                                     ("kmeans", "agglomerative_ward", "mean_shift"), max_iter=20)
+                                     ("kmeans", "agglomerative_ward", "mean_shift"))
     return rounded(out, *SCORES)
 
 
@@ -596,21 +601,16 @@ def _(spark, table):
     return rounded(out, *SCORES)
 
 
-@query("embedding_parameters")
-def _(spark, table):
-    return rounded(SW.embedding_parameter_table(embeddings(table), "vec_id", "v", "label", n_init=3), *SCORES)
-
-
 @query("prepare_select_reduce")
 def _(spark, table):
     cols = [f"f{i}" for i in range(64)]
     df = embeddings(table).select("vec_id", "label", *[F.col("v")[i].alias(c) for i, c in enumerate(cols)])
     out, (_, k) = SW.prepare_select_reduce(df, cols, "vec_id", "label", 10, methods=("pca", "truncated_svd"), counts=(2, 5),
-                                           n_init=2, max_iter=20)
+                                           n_init=3, max_iter=300)
     return out.select("vec_id", "label", rnd(F.col("z")[0]).alias("c0"), rnd(F.col("z")[1]).alias("c1"))
 
 
 @query("evaluate_combined")
 def _(spark, table):
     df = embeddings(table)
-    return rounded(SW.evaluate_combined(df, "vec_id", "v", "label", 10, 2, 3, [(i, i + 32) for i in range(4)], 30), *SCORES)
+    return rounded(SW.evaluate_combined(df, "vec_id", "v", "label", 10, 2, 10, [(i, i + 32) for i in range(32)]), *SCORES)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wideloom.functions.vectors import pack
 from wideloom.operators import features as FT
 from wideloom.operators import hierarchy as H
+from wideloom.operators import prep
 from wideloom.operators import reduce as R
 from wideloom.plans import steps as ST
 from wideloom.plans.registry import EMB, EMB_LONG, LI, embeddings, query, rnd, rounded
@@ -194,6 +195,44 @@ def _(spark, table):
     return rounded(R.gram_rows(embeddings(table), "v"), "cov", digits=9)
 
 
+# Every seventh vector misses an entry, every 50th misses all but the first.
+HOLED = f"""(SELECT vec_id, i, CASE WHEN (vec_id % 7 = 0 AND i = vec_id % 64) OR (vec_id % 50 = 0 AND i > 0) THEN NULL ELSE x END AS x
+  FROM {EMB_LONG})"""
+
+
+@query("holed_embeddings_gram", f"""
+WITH f AS (SELECT vec_id, i, coalesce(x, avg(x) OVER (PARTITION BY i)) AS x FROM {HOLED})
+SELECT CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(covar_samp(a.x, b.x), 9) + 0.0 AS cov
+FROM f a JOIN f b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""")
+def _(spark, table):
+    cols = [f"f{i}" for i in range(64)]
+    k = F.col("vec_id")
+    wide = embeddings(table).select("vec_id", *[F.when(~((k % 7 == 0) & (k % 64 == i) | (k % 50 == 0) & F.lit(i > 0)), F.col("v")[i])
+                                                .alias(c) for i, c in enumerate(cols)])
+    full = prep.impute(wide, cols, "mean").transform(wide)
+    return rounded(R.gram_rows(full.select(pack(cols).alias("v")), "v"), "cov", digits=9)
+
+
+@query("kernel_cosine_gram", f"""
+WITH u AS (SELECT vec_id, i, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS x FROM {EMB_LONG}),
+c AS (SELECT a.i AS i, b.i AS j, covar_samp(a.x, b.x) * (count(*) - 1) AS c FROM u a JOIN u b USING (vec_id) GROUP BY a.i, b.i)
+SELECT round(sum(c) FILTER (WHERE i = j), 7) + 0.0 AS total, round(sum(c * c), 5) + 0.0 AS squares FROM c""")
+def _(spark, table):
+    w = R.kernel_pca(embeddings(table), "vec_id", "v", 64, "cosine").explained
+    return rounded(rounded(spark.createDataFrame([(float(w.sum()), float((w * w).sum()))], "total double, squares double"),
+                           "total", digits=7), "squares", digits=5)
+
+
+@query("kernel_linear_gram", f"""
+WITH c AS (SELECT a.i AS i, b.i AS j, covar_samp(a.x, b.x) * (count(*) - 1) AS c FROM {EMB_LONG} a JOIN {EMB_LONG} b USING (vec_id)
+  GROUP BY a.i, b.i)
+SELECT round(sum(c) FILTER (WHERE i = j), 6) + 0.0 AS total, round(sum(c * c), 4) + 0.0 AS squares FROM c""")
+def _(spark, table):
+    w = R.kernel_pca(embeddings(table), "vec_id", "v", 64, "linear").explained
+    return rounded(rounded(spark.createDataFrame([(float(w.sum()), float((w * w).sum()))], "total double, squares double"),
+                           "total", digits=6), "squares", digits=4)
+
+
 @query("pca_spectrum", f"""
 WITH c AS (SELECT a.i AS i, b.i AS j, covar_samp(a.x, b.x) AS c FROM {EMB_LONG} a JOIN {EMB_LONG} b USING (vec_id)
   GROUP BY a.i, b.i)

@@ -2,39 +2,31 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from wideloom.functions import stats as S
 from wideloom.operators import prep, profile
 from wideloom.plans.registry import EMB, EMB_LONG, LI, embeddings, long_sql, poly_sql, query, rnd, rounded
+from wideloom.session import scratch_path
 from wideloom.sources import tables as T
 
 LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LI_ID = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
-def _work(spark, table, name):
-    """A scratch path that differs per input folder."""
-    where = table("region").inputFiles()[0]
-    return T.work_path(spark, f"wideloom-{name}-{hashlib.md5(where.encode()).hexdigest()[:12]}")
-
-
 # ---- sources and samples ---------------------------------------------------------------
 
 @query("csv_load", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def _(spark, table):
     src = table("customer")
-    path = _work(spark, table, "customer-csv")
+    path = scratch_path(spark, "customer-csv")
     T.save_table(src, path, "csv")
-    back = T.load_table(spark, path)
-    return back.select(*[F.col(f.name).cast(f.dataType) for f in src.schema.fields])
+    return T.load_table(spark, path, src.schema)
 
 
 @query("csv_save", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def _(spark, table):
-    return T.save_table(table("nation"), _work(spark, table, "nation-csv"), "csv")
+    return T.save_table(table("nation"), scratch_path(spark, "nation-csv"), "csv")
 
 
 @query("labelled_matrix", f"""
@@ -88,7 +80,7 @@ def _(spark, table):
 
 @query("fraction_sample", """
 SELECT event_id, event_type, value FROM events
-WHERE (((event_id % 1000000007) * 48271 + 12345) % 2147483647) % 1000 < 100""")
+WHERE ((((event_id % 1000000007) * 48271 + 12345) % 2147483647) * 69621 + 7) % 2147483647 < 0.1 * 2147483647""")
 def _(spark, table):
     return T.fraction_sample(table("events").select("event_id", "event_type", "value"), "event_id", 0.1)
 
@@ -105,7 +97,7 @@ SELECT c_custkey, round((c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acct
 FROM customer""")
 def _(spark, table):
     df = table("customer").select("c_custkey", "c_acctbal")
-    path = _work(spark, table, "customer-scaled")
+    path = scratch_path(spark, "customer-scaled")
     build = lambda: prep.scale(df, ["c_acctbal"]).transform(df)
     T.reuse_or_build(spark, path, build, force=True)
     return rounded(T.reuse_or_build(spark, path, build), "c_acctbal")
@@ -243,6 +235,14 @@ def _(spark, table):
     return rounded(profile.correlations(table("lineitem"), LI), "value")
 
 
+@query("corr_constant_column", """
+SELECT 'l_quantity' AS a, 'one' AS b, CAST(NULL AS DOUBLE) AS value UNION ALL SELECT 'one', 'tax', NULL UNION ALL
+SELECT 'l_quantity', 'tax', round(corr(l_quantity, nullif(l_tax, 0.0)), 6) + 0.0 FROM lineitem""")
+def _(spark, table):
+    df = table("lineitem").select("l_quantity", F.lit(1.5).alias("one"), F.nullif("l_tax", F.lit(0.0)).alias("tax"))
+    return rounded(profile.correlations(df, df.columns), "value")
+
+
 @query("cov_matrix", " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, round(covar_samp({a}, {b}), 4) + 0.0 AS value FROM lineitem"
     for i, a in enumerate(LI) for b in LI[i:]))
@@ -270,6 +270,22 @@ def _(spark, table):
     return rounded(profile.iqr_outliers(_mixed(table), ["a", "b", "c"]), "q1", "q3", "lower", "upper")
 
 
+@query("preprocessing_advice_wide", f"""
+WITH t AS (SELECT event_id % 4 * 1.0 + 10 AS flat, {', '.join(f'CAST(event_id % {i + 3} AS DOUBLE) AS p{i}' for i in range(23))},
+  CASE WHEN event_id % 500 = 0 THEN 1000000.0 ELSE CAST(event_id % 9 AS DOUBLE) END AS p23 FROM events),
+l AS (UNPIVOT t ON COLUMNS(*) INTO NAME feature VALUE value),
+s AS (SELECT feature, skewness(value) AS s, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM l GROUP BY feature),
+o AS (SELECT count(*) > 0 AS has FROM l JOIN s USING (feature) WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1))
+SELECT coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE abs(s) > 1), '') AS highly_skewed,
+  coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE abs(s) > 0.5 AND abs(s) <= 1), '') AS moderately_skewed,
+  any_value(has) AS has_outliers, CASE WHEN any_value(has) THEN 'robust' ELSE 'standard' END AS scaler FROM s, o""")
+def _(spark, table):
+    k = F.col("event_id")
+    df = table("events").select((k % 4 * 1.0 + 10).alias("flat"), *[(k % (i + 3)).cast("double").alias(f"p{i}") for i in range(23)],
+                                F.when(k % 500 == 0, 1000000.0).otherwise((k % 9).cast("double")).alias("p23"))
+    return profile.preprocessing_advice(df, df.columns)
+
+
 @query("preprocessing_advice", f"""
 WITH s AS (SELECT feature, skewness(value) AS s, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
   FROM {long_sql(MIXED, ['a', 'b', 'c'])} GROUP BY feature),

@@ -26,6 +26,7 @@ from wideloom.operators.kmeans import KMeansModel, Spec, fit_many, kmeans
 from wideloom.operators.meanshift import mean_shift
 from wideloom.operators.prep import handle_outliers, scale
 from wideloom.plans.steps import APPROACHES, combined_features
+from wideloom.session import cut_lineage
 
 
 def label_runs(df: DataFrame, vec: str, models: dict[str, KMeansModel | GaussianMixture], keep: Sequence[str]
@@ -52,7 +53,7 @@ def score_models(df: DataFrame, vec: str, label: str, models: dict) -> DataFrame
 
 
 def component_sweep(df: DataFrame, key: str, vec: str, label: str, k: int, counts: Sequence[int],
-                    method: str = "whitened_pca", n_init: int = 3, max_iter: int = 50) -> DataFrame:
+                    method: str = "whitened_pca", n_init: int = 3, max_iter: int = 300) -> DataFrame:
     """Scores of k-means on the first 1..c components.
 
     The components of every method here are nested, so one fit at the largest count serves
@@ -235,7 +236,7 @@ def many_algorithms(df: DataFrame, key: str, vec: str, label: str, k: int = 2, e
         else:
             raise ValueError(f"unknown algorithm {name!r}")
         seconds[name] = time.perf_counter() - start
-    out = out.persist()
+    out = cut_lineage(out)
     long = out.select(label, F.explode(F.array(*[
         F.struct(F.lit(n).alias("run"), F.col(n).cast("int").alias("cluster")) for n in which])).alias("r")).select(label, "r.*")
     counts = long.groupBy("run").agg(
@@ -284,7 +285,7 @@ def reduction_by_clustering(df: DataFrame, key: str, vec: str, label: str, compo
 
 
 def approach_comparison(df: DataFrame, key: str, vec: str, label: str, approaches: Sequence[str], components: int = 20,
-                        k: int = 2, n_init: int = 3, max_iter: int = 50) -> DataFrame:
+                        k: int = 2, n_init: int = 3, max_iter: int = 300) -> DataFrame:
     """Named feature approaches, each clustered by k-means and by a mixture; one row per
     approach with the better of the two by F1."""
     rows = None
@@ -307,35 +308,27 @@ def whitened_kmeans(df: DataFrame, key: str, vec: str, label: str, components: i
     from wideloom.plans.steps import scale_vector
 
     scaled = scale_vector(df, vec, "standard").transform(df, vec, "_s")
-    z = R.pca(scaled, "_s", components, True).transform(scaled, "_s", "_z").select(key, label, "_z").persist()
-    model = fit_many(z, key, "_z", {"m": Spec(k, n_init)}, max_iter)["m"]
+    z = R.pca(scaled, "_s", components, True).transform(scaled, "_s", "_z").select(key, label, "_z")
+    model = fit_many(z, key, "_z", {"m": Spec(k, n_init)}, max_iter)["m"]  # keeps the rows while it fits
     labelled = model.transform(z, "_z", "cluster")
     return labelled, E.score(labelled, label, "cluster")
 
 
-def embedding_parameter_table(df: DataFrame, key: str, vec: str, label: str, components: int = 15, k: int = 2,
-                              parameters: Sequence[str] = ("perplexity_10", "perplexity_30", "perplexity_50",
-                                                           "neighbors_5", "neighbors_15", "neighbors_30"), n_init: int = 10
-                              ) -> DataFrame:
-    """Score per picture-embedding setting.  The labels always come from the whitened
-    components, so the fit is done once and every setting shares its scores."""
-    _, scores = whitened_kmeans(df, key, vec, label, components, k, n_init)
-    settings = F.posexplode(F.array(*[F.lit(p) for p in parameters])).alias("position", "setting")
-    return scores.select(settings, *E.METRICS)
-
-
 def prepare_select_reduce(df: DataFrame, cols: Sequence[str], key: str, label: str, k: int, components: int = 20,
                           methods: Sequence[str] = R.REDUCTIONS, counts: Sequence[int] = (2, 5, 10, 15, 20, 30, 40),
-                          n_init: int = 3, max_iter: int = 50) -> tuple[DataFrame, tuple[str, int]]:
+                          n_init: int = 3, max_iter: int = 300) -> tuple[DataFrame, tuple[str, int]]:
     """Winsorise, robust-scale, choose (method, components) by silhouette, reduce."""
     from wideloom.functions.vectors import pack
 
     ready = handle_outliers(df, cols, "winsorize", 3.0)
     ready = scale(ready, cols, "robust").transform(ready)
     ready = ready.select(key, label, pack(cols).alias("v")).persist()
-    grid = reduction_grid(ready, key, "v", k, methods, counts, n_init, max_iter)
-    best = grid.orderBy(F.desc("silhouette"), "method", "n_components").first()
-    model = R.reduce_by(ready, key, "v", best["method"], best["n_components"])
+    try:
+        grid = reduction_grid(ready, key, "v", k, methods, counts, n_init, max_iter)
+        best = grid.orderBy(F.desc("silhouette"), "method", "n_components").first()
+        model = R.reduce_by(ready, key, "v", best["method"], best["n_components"])
+    finally:
+        ready.unpersist()
     return model.transform(ready, "v", "z").select(key, label, "z"), (best["method"], best["n_components"])
 
 

@@ -34,7 +34,7 @@ def scratch_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not shared:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="wideloom-")
     if sc.getCheckpointDir() is None:

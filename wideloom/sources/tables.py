@@ -6,12 +6,12 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, NumericType, StructType
 
+from wideloom.functions.samples import hex_share, lowest
 from wideloom.operators.prep import impute
-from wideloom.session import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -89,18 +89,24 @@ def encode_labels(df: DataFrame, label: str, out: str = "code", max_classes: int
 
 
 def fixed_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (all, if fewer) without replacement: a top-n by hashed key."""
+    """Exactly ``n`` rows (all, if fewer) without replacement: the lowest by hashed key."""
     code = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
-    return df.orderBy(code, *key).limit(n)
+    return lowest(df, hex_share(code), [code, *key], n)
 
 
-def hash_bucket(key: str, buckets: int = 1000):
-    """Portable integer hash of a bigint key, as an expression any SQL engine can repeat."""
-    return F.pmod(F.col(key).cast("bigint") % 1_000_000_007 * 48_271 + 12_345, F.lit(2_147_483_647)) % buckets
+HASH_RANGE = 2_147_483_647
+
+
+def hash_code(key: str) -> Column:
+    """Portable integer hash of a bigint key, below HASH_RANGE, that any SQL engine can repeat."""
+    return F.pmod(F.pmod(F.col(key).cast("bigint"), F.lit(1_000_000_007)) * 48_271 + 12_345, F.lit(HASH_RANGE))
 
 
 def fraction_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    return df.where(hash_bucket(key) < int(round(fraction * 1000)))
+    """The rows whose scrambled hash lies in the first ``fraction`` of its range."""
+    # A second multiplication: neighbouring keys are 48,271 apart after the first.
+    code = F.pmod(hash_code(key) * 69_621 + 7, F.lit(HASH_RANGE))
+    return df.where(code < F.lit(fraction * HASH_RANGE))
 
 
 def stratified_split(df: DataFrame, key: str, label: str, classes: Sequence, train: float = 0.7) -> DataFrame:
@@ -168,8 +174,3 @@ def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame
     if not force and fs.exists(hadoop):
         return spark.read.parquet(path)
     return save_table(build(), path)
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/{name}"
-
