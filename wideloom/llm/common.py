@@ -18,8 +18,18 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
+ARROW_ROWS = 512
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session, with this package on its executors."""
+    """The session, with this package on its executors.
+
+    Texts are long: unless the session has chosen a size of its own, Arrow batches get fewer rows
+    than Spark's 10,000, so that Python workers hold a few MB of text at a time.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ARROW_ROWS))
     return ship_package(spark)
 
 
@@ -38,6 +48,14 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

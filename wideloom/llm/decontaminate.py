@@ -160,8 +160,8 @@ class Index:
                 for t, parts in found.items():
                     key, item, start = (np.concatenate(c) for c in zip(*parts))
                     order = np.argsort(key, kind="stable")
-                    bits = np.zeros(1 << 20, bool)
-                    bits[key >> np.uint64(44)] = True
+                    bits = np.zeros(1 << 17, bool)
+                    bits[key >> np.uint64(47)] = True
                     self.tables.append((width, walk, _sampled(search, width, walk, t), t, key[order], item[order],
                                         start[order], bits))
 
@@ -177,7 +177,7 @@ class Index:
                 if w != walk:
                     continue
                 k = _keys(out, picks, t)
-                maybe = np.flatnonzero(bits[k >> np.uint64(44)])
+                maybe = np.flatnonzero(bits[k >> np.uint64(47)])
                 if not len(maybe):
                     continue
                 k = k[maybe]

@@ -13,6 +13,7 @@ remaining capacity finds the tightest open windows.  The plan says where the pie
 from __future__ import annotations
 
 import base64
+import functools
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -108,6 +109,7 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> list[Segment]:
     return out
 
 
+@functools.lru_cache(2)
 def encoder(path: str):
     """Byte-pair encoder of the vocabulary at ``path`` (token bytes in base64, rank).
 

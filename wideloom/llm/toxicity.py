@@ -143,15 +143,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
             held: dict[int, list] = {}
             for b in batches:
                 for t, y, shard in zip(b.column("t").to_pylist(), b.column("y").to_pylist(), b.column("shard").to_pylist()):
-                    held.setdefault(shard, []).append((features(t, s.bits), y))
+                    held.setdefault(shard, []).append((features(t, s.bits).astype(np.int32), y))
             for shard, rows in held.items():
-                z, n = np.zeros((1 << s.bits) + 1), np.zeros((1 << s.bits) + 1)
+                z, n = np.zeros((1 << s.bits) + 1, np.float32), np.zeros((1 << s.bits) + 1, np.float32)
                 z[index], n[index] = z0, n0
                 z[-1], n[-1] = bias
                 _epoch(rows, z, n, s)
                 on = np.flatnonzero(np.abs(z[:-1]) > s.l1)
                 yield pa.RecordBatch.from_pydict(
-                    {"i": [on.tobytes()], "z": [z[on].tobytes()], "n": [n[on].tobytes()], "bz": [float(z[-1])],
+                    {"i": [on.tobytes()], "z": [z[on].astype(float).tobytes()], "n": [n[on].astype(float).tobytes()], "bz": [float(z[-1])],
                      "bn": [float(n[-1])], "rows": [len(rows)]},
                     schema=pa.schema([("i", pa.binary()), ("z", pa.binary()), ("n", pa.binary()), ("bz", pa.float64()),
                                       ("bn", pa.float64()), ("rows", pa.int64())]))
