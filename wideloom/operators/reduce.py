@@ -415,7 +415,7 @@ class Factorisation:
 
 
 def nmf(df: DataFrame, vec: str, k: int, max_iter: int = 200, tol: float = 1e-4, seed: int = 42, sweeps: int = 30,
-        ) -> Factorisation:
+        init: np.ndarray | None = None) -> Factorisation:
     """Non-negative factorisation of max(0, X).
 
     Row weights are re-solved from the broadcast components in every pass, so no per-row
@@ -424,7 +424,7 @@ def nmf(df: DataFrame, vec: str, k: int, max_iter: int = 200, tol: float = 1e-4,
     total, n, sq = sum_rows(df, [vec], lambda x: (np.maximum(x, 0).sum(axis=0), np.array([float(len(x))]),
                                                   np.array([(np.maximum(x, 0) ** 2).sum()])))
     level = np.sqrt(max(total.mean() / n[0], 1e-12) / k)
-    h = np.abs(np.random.default_rng(seed).normal(size=(k, len(total)))) * level + 1e-6
+    h = np.abs(np.random.default_rng(seed).normal(size=(k, len(total)))) * level + 1e-6 if init is None else np.array(init, float)
     losses: list[float] = []
     converged = False
     for _ in range(max_iter):
@@ -462,7 +462,7 @@ def _sparse_codes(x: np.ndarray, d: np.ndarray, alpha: float, sweeps: int) -> np
 
 
 def dictionary_learning(df: DataFrame, vec: str, k: int, alpha: float = 1.0, max_iter: int = 200, seed: int = 42,
-                        sweeps: int = 30, tol: float = 1e-4) -> Factorisation:
+                        sweeps: int = 30, tol: float = 1e-4, init: np.ndarray | None = None) -> Factorisation:
     """Sparse coding of the data shifted to be non-negative; unit-norm atoms.
 
     Each round codes every row against the broadcast atoms and aggregates A'A and A'X.  It ends
@@ -473,6 +473,7 @@ def dictionary_learning(df: DataFrame, vec: str, k: int, alpha: float = 1.0, max
     rng = np.random.default_rng(seed)
     d = np.maximum(mean / n[0], 1e-9) * rng.uniform(0.5, 1.5, size=(k, len(mean)))
     d /= np.linalg.norm(d, axis=1, keepdims=True)
+    d = d if init is None else np.array(init, float)
     losses: list[float] = []
     converged = False
     for _ in range(max_iter):
