@@ -305,7 +305,10 @@ def graph_selection(df: DataFrame, vec: str, threshold: float = 0.5, limit: int
     ``on="whitened"`` builds the graph on whitened components, whose correlations vanish,
     so every component ties; the default uses the input's own correlations.
     """
-    g = gram(df, vec)
+    return _graph_order(gram(df, vec), threshold, limit, on)
+
+
+def _graph_order(g: Gram, threshold: float, limit: int, on: str) -> tuple[list[int], np.ndarray, Gram]:
     if on == "whitened":
         w = pca_from_gram(g, None, True)
         g = Gram(g.n, np.zeros(w.matrix.shape[1]), w.matrix.T @ g.scatter @ w.matrix)
@@ -320,7 +323,7 @@ def graph_selection_pca(df: DataFrame, vec: str, k: int, threshold: float = 0.5,
                         on: str = "standard") -> Projection:
     """Select central features, then PCA: one projection, since selection is a matrix."""
     full = gram(df, vec)
-    order, _, _ = graph_selection(df, vec, threshold, limit, on)
+    order, _, _ = _graph_order(full, threshold, limit, on)
     white = pca_from_gram(full, None, True)
     if on == "whitened":
         basis, mean = white.matrix[:, order], full.mean

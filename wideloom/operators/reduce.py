@@ -251,7 +251,7 @@ def whiten_from_gram(g: Gram, method: str, k: int | None = None, **params) -> Pr
     """
     if method not in WHITENERS:
         raise ValueError(f"unknown whitening {method!r}")
-    m = WHITENERS[method](g.cov, **params)
+    m = whole = WHITENERS[method](g.cov, **params)
     p = m.shape[1]
     if k is not None and method == "adaptive":
         m = m[:, :k]
@@ -259,7 +259,7 @@ def whiten_from_gram(g: Gram, method: str, k: int | None = None, **params) -> Pr
         _, v = _eigen(m.T @ g.cov @ m)
         m = m @ v[:, :k]
     var = np.diag(m.T @ g.cov @ m)
-    total = np.trace(WHITENERS[method](g.cov, **params).T @ g.cov @ WHITENERS[method](g.cov, **params))
+    total = np.trace(whole.T @ g.cov @ whole)
     return Projection(g.mean, m, var, var / total if total > 0 else var * 0)
 
 

@@ -81,10 +81,15 @@ def task_count(df: DataFrame) -> int:
     A plan that still has to shuffle is not run to find out: it has at most the configured
     number of shuffle partitions.
     """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "InMemoryTableScan" not in plan and "Exchange" in plan:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, df.rdd.getNumPartitions())
+    known = getattr(df, "_task_count", None)  # iterative fits ask for the same frame every round
+    if known is None:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "InMemoryTableScan" not in plan and "Exchange" in plan:
+            known = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        else:
+            known = max(1, df.rdd.getNumPartitions())
+        df._task_count = known
+    return known
 
 
 def sum_rows(
@@ -99,7 +104,7 @@ def sum_rows(
     (they are NaN then).
     """
     picked = df.select(*columns)
-    tasks = task_count(picked)
+    tasks = task_count(df)
     fan = max(1, math.isqrt(tasks))
     direct = tasks <= DIRECT and 8 * tasks * numbers <= DIRECT_BYTES
     whole = merge is not add  # only element-wise sums may travel in pieces

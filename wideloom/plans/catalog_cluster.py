@@ -544,6 +544,11 @@ def _(spark, table):
     return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31), "hybrid"), *SCORES)
 
 
+@query("graph_sweep")
+def _(spark, table):
+    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 11), "graph", threshold=0.1), *SCORES)
+
+
 @query("optimal_k_silhouette")
 def _(spark, table):
     return rounded(SW.optimal_k(_z(table, 5), "vec_id", "z", 8)[1], "score")

@@ -17,6 +17,7 @@ from pyspark.sql.functions import arrow_udf
 
 from wideloom.functions.vectors import from_matrix, to_matrix, width
 from wideloom.operators import evaluate as E
+from wideloom.operators import features as FT
 from wideloom.operators import reduce as R
 from wideloom.operators.affinity import affinity_propagation
 from wideloom.operators.dbscan import dbscan, dbscan_grid, eps_from_neighbors
@@ -53,8 +54,9 @@ def score_models(df: DataFrame, vec: str, label: str, models: dict) -> DataFrame
 
 
 def component_sweep(df: DataFrame, key: str, vec: str, label: str, k: int, counts: Sequence[int],
-                    method: str = "whitened_pca", n_init: int = 3, max_iter: int = 300) -> DataFrame:
-    """Scores of k-means on the first 1..c components.
+                    method: str = "whitened_pca", n_init: int = 3, max_iter: int = 300, threshold: float = 0.5
+                    ) -> DataFrame:
+    """Scores of k-means on the first 1..c components (``threshold`` is that of the graph method).
 
     The components of every method here are nested, so one fit at the largest count serves
     every prefix, and all prefixes are clustered in the same passes.
@@ -63,6 +65,9 @@ def component_sweep(df: DataFrame, key: str, vec: str, label: str, k: int, count
         model = R.pca(df, vec, max(counts), method == "whitened_pca")
     elif method in R.WHITENERS:
         model = R.whiten(df, vec, method, max(counts))
+    elif method == "graph":
+        model = FT.graph_selection_pca(df, vec, max(counts), threshold)
+        counts = [c for c in counts if c <= model.matrix.shape[1]]
     else:
         raise ValueError(f"unknown sweep method {method!r}")
     z = model.transform(df, vec, "_z").select(key, label, "_z").persist()
