@@ -7,7 +7,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wideloom.functions import stats as S
@@ -17,7 +17,6 @@ from wideloom.functions.vectors import pack
 from wideloom.operators.quantiles import exact_quantiles
 from wideloom.operators.ranks import cumulative, melt
 from wideloom.operators.rowsums import sum_rows
-from wideloom.session import cut_lineage
 
 CHUNK = 300
 
@@ -89,20 +88,26 @@ ROYSTON_SD = (-0.4803, -0.082676, 0.0030302)
 ROYSTON_GAMMA = (-2.273, 0.459)
 
 
-def shapiro_wilk(
-    df: DataFrame, cols: Sequence[str], tie_break: Sequence[str], max_rows: int = 5000, seed: int = 42
-) -> DataFrame:
-    """Shapiro-Wilk W and p per feature.
+ROYSTON_ROWS = 5000  # the p-value's approximation was fitted up to here
+TIE_BLOCK = 10_000
 
-    The test is defined for at most 5000 values: a larger table is sampled first, in the
-    order of an MD5 of the row key, so the sample is the same on every run.
+
+def shapiro_wilk(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Shapiro-Wilk W per feature over all rows, and p where Royston's approximation holds.
+
+    Ranks come from pre-aggregated values, so no feature is sorted in one task; a value with many
+    copies is spread over its ranks in blocks.  Beyond ROYSTON_ROWS rows p and the verdict are null.
     """
-    code = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in tie_break], F.lit(str(seed))))
-    sample = df.select(*cols, *[c for c in tie_break if c not in cols]).orderBy(code, *tie_break).limit(max_rows)
-    long = melt(cut_lineage(sample), cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    by = Window.partitionBy("feature")
-    x = long.select("feature", "value", F.row_number().over(by.orderBy("value")).cast("double").alias("i"),
-                    F.count("*").over(by).cast("double").alias("n"))
+    long = melt(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    ranks = cumulative(long, ["feature"], "value", {"t": F.count("*")})
+    sizes = ranks.groupBy("feature").agg(F.sum("t").cast("double").alias("n"))
+    blocks = ranks.withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("t") - 1) / TIE_BLOCK))))
+    first = F.col("b") * TIE_BLOCK
+    x = blocks.select("feature", "value", (F.col("before_t") + first).alias("low"),
+                      F.least(F.lit(TIE_BLOCK).cast("bigint"), F.col("t") - first).alias("some")).select(
+        "feature", "value", "low", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("some"))).alias("one"))
+    x = x.join(F.broadcast(sizes), "feature").select(  # one row per column name
+        "feature", "value", (F.col("low") + F.col("one")).cast("double").alias("i"), "n")
     x = S.add_normal_quantile(x, (F.col("i") - 0.375) / (F.col("n") + 0.25), "m")
     sums = x.groupBy("feature", "n").agg(
         F.sum(F.col("m") * F.col("m")).alias("mm"),
@@ -141,8 +146,8 @@ def shapiro_wilk(
     w = S.add_normal_tail(w, z, "tail", upper=True).withColumn(
         "p_value", F.when(F.col("w") >= 1, F.lit(1.0)).when(
             F.col("n") == 3, F.greatest(three, F.lit(0.0))).otherwise(F.col("tail")))
-    return w.select("feature", F.col("n").cast("bigint").alias("count"), "w", "p_value",
-                    (F.col("p_value") < 0.05).alias("rejected"))
+    p = F.when(F.col("n") <= ROYSTON_ROWS, F.col("p_value"))
+    return w.select("feature", F.col("n").cast("bigint").alias("count"), "w", p.alias("p_value"), (p < 0.05).alias("rejected"))
 
 
 def group_sizes(df: DataFrame, col: str) -> DataFrame:

@@ -187,7 +187,7 @@ def _upper_sql(z: str) -> str:
 
 
 @query("shapiro_wilk", f"""
-WITH s AS (SELECT value FROM events ORDER BY md5(concat_ws('|', CAST(event_id AS VARCHAR), '42')), event_id LIMIT 5000),
+WITH s AS (SELECT value FROM events),
 x AS (SELECT value, CAST(row_number() OVER (ORDER BY value) AS DOUBLE) AS i, CAST(count(*) OVER () AS DOUBLE) AS n FROM s),
 p AS (SELECT *, (i - 0.375) / (n + 0.25) AS p FROM x), m AS (SELECT *, {_quantile_sql('p')} AS m FROM p),
 u AS (SELECT any_value(n) AS n, sum(m * m) AS mm, max(m) AS m1, max(m) FILTER (WHERE i = n - 1) AS m2, avg(value) AS mu,
@@ -199,10 +199,12 @@ w AS (SELECT any_value(f.n) AS n, pow(sum((CASE WHEN m.i = 1 THEN -a1 WHEN m.i =
   WHEN m.i = f.n - 1 THEN a2 ELSE m.m / fac END) * (value - mu)), 2) / sum((value - mu) ** 2) AS w FROM m, f),
 z AS (SELECT n, w, (ln(1 - w) - {poly_sql('ln(n)', profile.ROYSTON_MEAN)}) / exp({poly_sql('ln(n)', profile.ROYSTON_SD)}) AS z
   FROM w)
-SELECT 'value' AS feature, CAST(n AS BIGINT) AS count, round(w, 6) + 0.0 AS w, true AS rejected FROM z WHERE z > 1.645""")
+SELECT 'value' AS feature, CAST(n AS BIGINT) AS count, round(w, 6) + 0.0 AS w,
+  CASE WHEN n <= 5000 THEN round({_upper_sql('z')}, 9) + 0.0 END AS p_value, CASE WHEN n <= 5000 THEN {_upper_sql('z')} < 0.05 END AS rejected
+FROM z""")
 def _(spark, table):
-    out = profile.shapiro_wilk(table("events"), ["value"], ["event_id"])
-    return rounded(out, "w").drop("p_value")
+    out = profile.shapiro_wilk(table("events"), ["value"])
+    return rounded(rounded(out, "w"), "p_value", digits=9)
 
 
 @query("group_sizes", "SELECT event_type, count(*) AS rows FROM events GROUP BY event_type")
