@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wideloom.llm.common import fold, prepared, whole_text
+from wideloom.llm.common import fold, prepared, stored, whole_text
 
 STATISTICS = (
     "log_chars", "log_words", "log_lines", "mean_word", "spread_word", "distinct_words", "top_word", "distinct_pairs",
     "top_pair", "repeated_neighbours", "word_entropy", "byte_entropy", "upper", "digits", "punctuation", "exclamations",
     "bars", "non_ascii", "spaces", "distinct_lines", "short_words", "capital_words")
+ROWS_PER_TASK, MOST_TASKS = 20_000, 1024
 _PUNCTUATION = [c for c in range(33, 127) if not chr(c).isalnum()]
 
 
@@ -160,15 +161,14 @@ def _summed(rows: DataFrame, parts, shape: tuple[int, ...], slices: int) -> np.n
 def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", column: str = "stats",
         size: int = 256, width: float = 1.0, ridge: float = 1.0, bins: int = 2048, folds: int = 5,
         seed: int = 7) -> QualityModel:
-    """Fit on the rows of ``stats`` (key, statistics; stored, it is read three times) whose key has a
-    label 0 or 1.  Keys with contradicting labels and null keys are left out.  Without any labelled
+    """Fit on the rows of ``stats`` (key, statistics) whose key has a label 0 or 1.  Keys with contradicting labels and null keys are left out.  Without any labelled
     row every score is 0.5."""
     spark = prepared(stats.sparkSession)
     known = (labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
              .where("k is not null and y in (0, 1)").groupBy("k")
              .agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2").select("k", F.col("y").cast("double")))
-    rows = stats.select(F.col(key).alias("k"), F.col(column).alias("x")).join(known, "k").select(
-        "x", "y", fold("k", folds).cast("int").alias("fold"))
+    rows = stored(stats.select(F.col(key).alias("k"), F.col(column).alias("x")).join(known, "k").select(
+        "x", "y", fold("k", folds).cast("int").alias("fold")), "quality-labelled")
     d = len(STATISTICS)
 
     def matrix(batch) -> np.ndarray:
@@ -187,6 +187,8 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     scale[scale < 1e-9] = 1.0
     features = Features.draw(mean, scale, size, width, seed)
     p = size + 1
+    # Every task adds one set of equations to what is shuffled: no more tasks than the rows need.
+    rows = rows.coalesce(min(MOST_TASKS, -(-n // ROWS_PER_TASK)))
 
     def equations(batch):
         f, y = batch.column("fold").to_numpy(), batch.column("y").to_numpy()
