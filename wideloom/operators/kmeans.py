@@ -139,10 +139,11 @@ def _seed_centers(df, code, vec, runs: list[_Run], p: int) -> None:
         n, s, q = sum_rows(df, [vec], lambda x: (np.array([float(len(x))]), x.sum(0), (x * x).sum(0)))
         mean = s / n
         bounds = {"mean": mean, "sd": np.sqrt(np.maximum(q / n - mean * mean, 0))}
-    for step in range(max(r.spec.k for r in runs)):
-        todo = [r for r in runs if r.spec.init is None and step < r.spec.k]
-        if not todo:
-            return
+    fresh = [r for r in runs if r.spec.init is None]
+    few = [r for r in fresh if r.spec.k <= SEED_ROUNDS + 2]
+    many = [r for r in fresh if r.spec.k > SEED_ROUNDS + 2]
+    for step in range(max([r.spec.k for r in few] + [1 if many else 0], default=0)):
+        todo = [r for r in few if step < r.spec.k] + (many if step == 0 else [])
         models, seeds = _views(todo), [r.seed * 1000 + step for r in todo]
         inlier = [r.spec.enhanced and r.spec.outlier_handling for r in todo]
 
@@ -165,6 +166,68 @@ def _seed_centers(df, code, vec, runs: list[_Run], p: int) -> None:
         _, picks = sum_rows(df, [code, vec], part, keep_smallest)
         for r, pick in zip(todo, picks):
             r.centers = np.concatenate([r.centers, pick[None, :r.centers.shape[1]]])
+    if many:
+        _seed_in_rounds(df, code, vec, many, p)
+
+
+SEED_ROUNDS = 4
+
+
+def _seed_in_rounds(df, code, vec, runs: list[_Run], p: int) -> None:
+    """k-means|| (Bahmani et al. 2012): the number of passes does not depend on k.
+
+    A round draws 2k rows per run with probability proportional to their squared distance to the
+    candidates so far (the smallest Exp(1) / w, which merges across tasks).  One more pass weighs the
+    candidates by the rows nearest to them; weighted k-means++ on those few gives the start.
+    """
+    most = 2 * max(r.spec.k for r in runs)
+
+    def lowest(a, b):
+        s = np.concatenate([a[0], b[0]], axis=1)
+        at = np.argsort(s, axis=1, kind="stable")[:, :most]
+        rows = np.concatenate([a[1], b[1]], axis=1)
+        return np.take_along_axis(s, at, axis=1), np.take_along_axis(rows, at[:, :, None], axis=1)
+
+    for step in range(SEED_ROUNDS):
+        models = _views(runs)
+
+        def part(c, x, models=models, step=step):
+            scores, picks = np.full((len(models), most), np.inf), np.zeros((len(models), most, p))
+            for i, m in enumerate(models):
+                w = m.distances(x).min(axis=1) ** 2
+                e = -np.log(uniform(c, runs[i].seed * 1000 + 500 + step))
+                s = np.where(w > 0, e / np.maximum(w, 1e-300), np.inf)
+                at = np.argsort(s, kind="stable")[:2 * runs[i].spec.k]
+                scores[i, :len(at)], picks[i, :len(at)] = s[at], x[at]
+            return scores, picks
+
+        scores, picks = sum_rows(df, [code, vec], part, lowest, numbers=len(runs) * most * (p + 1))
+        for r, s, rows in zip(runs, scores, picks):
+            ok = np.isfinite(s[:2 * r.spec.k])
+            r.centers = np.concatenate([r.centers, rows[:2 * r.spec.k][ok][:, :r.centers.shape[1]]])
+    models = _views(runs)
+    weights = sum_rows(df, [vec], lambda x: [np.bincount(m.distances(x).argmin(axis=1), minlength=len(m.centers)).astype(float)
+                                             for m in models])
+    for r, m, w in zip(runs, models, weights):
+        r.centers = _weighted_start(m, w, r.spec.k, np.random.default_rng(r.seed))
+
+
+def _weighted_start(m: KMeansModel, w: np.ndarray, k: int, rng) -> np.ndarray:
+    """k-means++ and a few Lloyd rounds on weighted candidates.  With fewer than k different
+    candidates the rest repeats some, as too few distinct rows would."""
+    c = m.centers
+    chosen = [int(rng.choice(len(c), p=w / w.sum()))]
+    while len(chosen) < k:
+        near = KMeansModel(c[chosen], m.metric, m.weights).distances(c).min(axis=1) ** 2 * w
+        chosen.append(int(rng.choice(len(c), p=near / near.sum())) if near.sum() > 0 else int(rng.integers(len(c))))
+    start = c[chosen].copy()
+    for _ in range(10):
+        at = KMeansModel(start, m.metric, m.weights).distances(c).argmin(axis=1)
+        for j in np.unique(at[w > 0]):
+            on = at == j
+            if w[on].sum() > 0:
+                start[j] = np.average(c[on], axis=0, weights=w[on])
+    return start
 
 
 def _uses_median(r: _Run) -> bool:
