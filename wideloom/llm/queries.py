@@ -15,8 +15,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, oracle: str | None = None):
     def register(fn):
+        if oracle is not None:
+            ORACLES[name] = oracle
+
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(prepared(spark), lambda t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet"))
 
@@ -35,7 +38,22 @@ def op1(spark, table):
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
 
 
-@query("op2_ngram_jaccard_join")
+# All pairs that share an n-gram, counted in full; groups by following links.
+JACCARD_SQL = r"""
+WITH RECURSIVE t AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\r\x0b\x0c]+'), lambda w: w <> '') AS w
+  FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM t),
+u AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM g),
+p AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+  HAVING 5 * count(*) >= 4 * (any_value(a.n) + any_value(b.n) - count(*))
+  UNION ALL SELECT a.doc_id, b.doc_id FROM g a JOIN g b ON len(a.s) = 0 AND len(b.s) = 0 AND a.doc_id <> b.doc_id),
+r(doc_id, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, p.b FROM r JOIN p ON p.a = r.m),
+c AS (SELECT doc_id, min(m) AS class_id FROM r GROUP BY doc_id), n AS (SELECT a AS doc_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM c LEFT JOIN n USING (doc_id)"""
+
+
+@query("op2_ngram_jaccard_join", JACCARD_SQL)
 def op2(spark, table):
     """doc_id, class_id (least doc_id of its group), n_links (other documents at 0.8 or more)."""
     return ngram_join.near_duplicates(table("documents")).select("doc_id", "class_id", "n_links")
