@@ -134,14 +134,17 @@ def _(spark, table):
     return rounded(out.select(*LI_KEYS, "ratio_l_discount"), "ratio_l_discount")
 
 
-@query("variable_ratios", f"""
-SELECT {LI_ID}, round(l_extendedprice / (l_quantity + 1e-10), 6) + 0.0 AS ratio_l_extendedprice_l_quantity,
-  round(l_extendedprice / (l_discount + 1e-10), -6) + 0.0 AS big, round(l_quantity / (l_discount + 1e-10), -4) + 0.0 AS mid
-FROM lineitem""")
+# Columns by falling variance.  A ratio by a value next to zero is huge, so its inverse is compared.
+BY_VARIANCE = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+RATIO_PAIRS = [(a, b) for i, a in enumerate(BY_VARIANCE) for b in BY_VARIANCE[i + 1:]]
+
+
+@query("variable_ratios", f"SELECT {LI_ID}, " + ", ".join(
+    f'round(({b} + 1e-10) / nullif({a}, 0), 7) + 0.0 AS "{a}/{b}"' for a, b in RATIO_PAIRS) + " FROM lineitem")
 def _(spark, table):
     out = FT.variable_ratios(table("lineitem"), LI)
-    return out.select(*LI_KEYS, rnd("ratio_l_extendedprice_l_quantity").alias("ratio_l_extendedprice_l_quantity"),
-                      rnd("ratio_l_extendedprice_l_discount", -6).alias("big"), rnd("ratio_l_quantity_l_discount", -4).alias("mid"))
+    return out.select(*LI_KEYS, *[rnd(1 / F.nullif(F.col(f"ratio_{a}_{b}"), F.lit(0.0)), 7).alias(f"{a}/{b}")
+                                  for a, b in RATIO_PAIRS])
 
 
 @query("keyword_weights", """
@@ -387,10 +390,16 @@ def _(spark, table):
 
 
 @query("explained_variance_check", f"""
-WITH r AS (SELECT unnest(range(1, 11)) AS component) SELECT CAST(component AS INTEGER) AS component, true AS equal FROM r""")
+WITH c AS (SELECT a.i AS i, b.i AS j, covar_samp(a.x, b.x) AS c FROM {EMB_LONG} a JOIN {EMB_LONG} b USING (vec_id) GROUP BY a.i, b.i)
+SELECT count(DISTINCT i) AS components, round(sum(c * c) / pow(sum(c) FILTER (WHERE i = j), 2), 9) + 0.0 AS squared_ratios,
+  round(sum(c * c) / pow(sum(c) FILTER (WHERE i = j), 2), 9) + 0.0 AS ml_squared_ratios, count(DISTINCT i) AS equal FROM c""")
 def _(spark, table):
     from wideloom.plans.sweeps import explained_variance_check
 
-    return explained_variance_check(embeddings(table), "v", 10).select("component", (F.col("squared_error") < 1e-15).alias("equal"))
+    # The ratios' squares sum to |C|^2 / trace(C)^2, which needs no eigenvalues.
+    out = explained_variance_check(embeddings(table), "v", 64).agg(
+        F.count("*").alias("components"), F.sum(F.col("ratio") ** 2).alias("squared_ratios"),
+        F.sum(F.col("ml_ratio") ** 2).alias("ml_squared_ratios"), F.count_if(F.col("squared_error") < 1e-15).alias("equal"))
+    return rounded(out, "squared_ratios", "ml_squared_ratios", digits=9)
 
 
