@@ -29,6 +29,8 @@ SKETCH = 64
 FIRST_LEVEL = 3
 LEVELS = 24
 TOSSES = 3
+PARSED = 64  # texts parsed at once: their symbols stay in the cache
+_LOWEST = np.array([0] + [(x & -x).bit_length() - 1 for x in range(1, 256)], np.uint8)
 _PLACES = mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -48,24 +50,22 @@ def _phrase_starts(sym: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Mask of the symbols that begin a phrase."""
     head = np.ones(len(sym), bool)
     head[1:] = doc[1:] != doc[:-1]
-    label = sym
-    for _ in range(TOSSES):
-        other = label[1:] ^ label[:-1]
-        low = other & (~other + np.uint64(1))
-        place = np.bitwise_count(low - np.uint64(1)).astype(np.uint64)
-        place[low == 0] = 0
+    # The first toss leaves labels below 128, so the others work on single bytes.
+    other = sym[1:] ^ sym[:-1]
+    place = np.bitwise_count((other & -other) - np.uint64(1))
+    place[other == 0] = 0
+    label = np.empty(len(sym), np.uint8)
+    label[1:] = (place << 1) | ((sym[1:] >> place) & np.uint64(1)).astype(np.uint8)
+    label[head] = (sym[head] & np.uint64(1)).astype(np.uint8)
+    for _ in range(TOSSES - 1):
+        place = _LOWEST[label[1:] ^ label[:-1]]
         tossed = np.empty_like(label)
-        tossed[1:] = (place << np.uint64(1)) | ((label[1:] >> place) & np.uint64(1))
-        tossed[head] = label[head] & np.uint64(1)
+        tossed[1:] = (place << 1) | ((label[1:] >> place) & 1)
+        tossed[head] = label[head] & 1
         label = tossed
-    before = np.empty_like(label)
-    before[1:] = label[:-1]
-    after = np.empty_like(label)
-    after[:-1] = label[1:]
     top = head.copy()
-    tail = np.ones(len(sym), bool)
-    tail[:-1] = head[1:]
-    top |= (label > before) & (label > after) & ~head & ~tail
+    rise = label[1:] > label[:-1]
+    top[1:-1] |= rise[:-1] & (label[1:-1] > label[2:]) & ~head[2:]
     return top
 
 
@@ -73,7 +73,7 @@ def phrase_names(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(names, index of their text) of all phrases from FIRST_LEVEL on."""
     size = np.array([len(t) for t in texts], np.int64)
     sym = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    doc = np.repeat(np.arange(len(texts)), size)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), size)
     sym = mix(sym + np.uint64(1))
     names, owners = [], []
     for level in range(1, LEVELS + 1):
@@ -133,8 +133,8 @@ def fingerprint(text: str | Column = "text") -> Column:
         for texts in parts:
             texts = texts.tolist()
             out: list[str] = []
-            for at in range(0, len(texts), 256):
-                out += [written(s) for s in sketches(texts[at:at + 256])]
+            for at in range(0, len(texts), PARSED):
+                out += [written(s) for s in sketches(texts[at:at + PARSED])]
             yield pd.Series(out, dtype=object)
 
     prints.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
@@ -178,8 +178,8 @@ def with_next(docs: DataFrame, work, schema: str, key: str = "doc_id", text: str
         for _, parts in streamed_groups(batches, "bucket"):
             held: tuple = ()
             for part in parts:
-                for at in range(0, part.num_rows, 256):
-                    piece = part.slice(at, 256)
+                for at in range(0, part.num_rows, PARSED):
+                    piece = part.slice(at, PARSED)
                     tail = piece.column("tail").to_pylist()
                     stop = tail.index(1) + 1 if 1 in tail else len(tail)
                     k, t = piece.column("k").to_pylist()[:stop], piece.column("t").to_pylist()[:stop]
