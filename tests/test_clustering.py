@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from wideloom.operators import evaluate
 from wideloom.operators import affinity as AP
 from wideloom.operators import dbscan as DB
 from wideloom.operators import gmm as G
@@ -299,3 +300,15 @@ def test_searches_return_scored_rows(blobs):
     _, table = SW.many_algorithms(df, "vec_id", "v", "label", 3, 0.6, 4, max_iter=10, neighbors=15)
     best = {r["run"]: r["ari"] for r in table.collect()}
     assert best["kmeans"] == 1.0 and best["agglomerative_ward"] == 1.0 and set(best) == set(SW.ALGORITHMS)
+
+
+def test_alignment_by_number_of_clusters(spark):
+    cells = spark.createDataFrame(
+        [("a", c, k, 5 + (c == (k + 3) % 12) * 100) for c in range(12) for k in range(12)] +
+        [("b", c, k, 5 + (c == k % 2) * 50) for c in range(2) for k in range(5)], "run string, label int, cluster int, rows long")
+    got = {(r["run"], r["cluster"]): r["mapped"] for r in evaluate.align(cells, ["run"]).collect()}
+    assert all(got["a", k] == (k + 3) % 12 for k in range(12))  # one-to-one beyond eight clusters too
+    assert all(got["b", k] == k % 2 for k in range(5))  # more clusters than classes: majority
+    flat = spark.createDataFrame([(0, 0, 9), (0, 1, 8), (1, 0, 1), (1, 1, 7)], "label int, cluster int, rows long")
+    assert {r["cluster"]: r["mapped"] for r in evaluate.align(flat).collect()} == {0: 0, 1: 1}
+    assert {r["cluster"]: r["mapped"] for r in evaluate.align(flat, alignment="majority").collect()} == {0: 0, 1: 0}

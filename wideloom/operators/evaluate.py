@@ -75,15 +75,19 @@ def majority_map(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return cells.join(most, [*by, "cluster"]).where("rows = most").groupBy(*by, "cluster").agg(F.min("label").alias("mapped"))
 
 
-def align(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def align(cells: DataFrame, by: Sequence[str] = (), alignment: str = "auto") -> DataFrame:
     """Cluster -> class map of each run.
 
-    No more clusters than classes: the one-to-one map with the best accuracy.  Otherwise each
-    cluster takes its majority class.
+    ``auto``: with no more clusters than classes the one-to-one map with the best accuracy,
+    otherwise each cluster's majority class.  ``majority``: always the majority class.
     """
+    if alignment not in ("auto", "majority"):
+        raise ValueError(f"unknown alignment {alignment!r}")
     if not by:
-        return align(cells.withColumn("_run", F.lit(0)), ["_run"]).drop("_run")
+        return align(cells.withColumn("_run", F.lit(0)), ["_run"], alignment).drop("_run")
     by = list(by)
+    if alignment == "majority":
+        return majority_map(cells, by)
     sizes = cells.groupBy(*by).agg(F.count_distinct("label").alias("kc"), F.count_distinct("cluster").alias("kk"))
     tagged = cells.join(sizes, by)
     small = F.col("kk") <= F.col("kc")
@@ -180,21 +184,21 @@ def classification(mapped: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                       pick("p").alias("precision"), pick("r").alias("recall"), pick("f").alias("f1"))
 
 
-def score(df: DataFrame, label: str, cluster: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row of all six metrics per run."""
-    return score_cells(contingency(df, label, cluster, by), by)
+def score(df: DataFrame, label: str, cluster: str, by: Sequence[str] = (), alignment: str = "auto") -> DataFrame:
+    """One row of all six metrics per run; ``alignment`` as in ``align``."""
+    return score_cells(contingency(df, label, cluster, by), by, alignment)
 
 
-def score_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def score_cells(cells: DataFrame, by: Sequence[str] = (), alignment: str = "auto") -> DataFrame:
     if not by:
-        return score_cells(cells.withColumn("_run", F.lit(0)), ["_run"]).drop("_run")
+        return score_cells(cells.withColumn("_run", F.lit(0)), ["_run"], alignment).drop("_run")
     by = list(by)
     # A small table that several steps read: fixed here so that the rows, and any model that
     # labels them, are evaluated once.
     cells = cut_lineage(cells)
     sizes = cells.groupBy(*by).agg(
         ((F.count_distinct("label") == 2) & (F.count_distinct("cluster") == 2)).alias("binary"))
-    mapped = cells.join(align(cells, by), [*by, "cluster"])
+    mapped = cells.join(align(cells, by, alignment), [*by, "cluster"])
     mapped = mapped.join(sizes, by)
     return classification(mapped, by).join(agreement(cells, by), by)
 

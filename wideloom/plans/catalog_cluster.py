@@ -393,7 +393,7 @@ ROUND6 = ", ".join(f"round({m}, 6) + 0.0 AS {m}" for m in SCORES)
 
 @query("scores_majority", _agree_sql(ARITH) + _weighted_sql(ARITH) + f"SELECT {ROUND6} FROM fin, g")
 def _(spark, table):
-    return rounded(E.score(_arith(table), "label", "cluster"), *SCORES)
+    return rounded(E.score(_arith(table), "label", "cluster", alignment="majority"), *SCORES)
 
 
 TWO_BY_TWO = f""", cm AS (SELECT count_if(label = 0 AND cluster = 0) AS t00, count_if(label = 0 AND cluster = 1) AS t01,
