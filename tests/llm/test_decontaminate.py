@@ -94,6 +94,26 @@ def test_recall_and_precision_against_all_pairs():
     assert hit / total >= 0.9
 
 
+@pytest.mark.parametrize("low, high, least", [(5, 8, 1.0), (9, 14, 1.0), (15, 18, 1.0), (19, 23, 1.0), (24, 31, 0.9), (32, 47, 0.9),
+                                              (48, 90, 0.9), (91, 160, 0.9)])
+def test_recall_of_each_length_at_the_limit(low, high, least):
+    rng = random.Random(low)
+    vocabulary = [b"w%d" % i for i in range(3000)]
+    marks = [[rng.choice(vocabulary) for _ in range(rng.randint(low, high))] for _ in range(60)]
+    index = dc.Index([b" ".join(m).decode() for m in marks])
+    hit = total = 0
+    for i, item in enumerate(index.items):
+        for _ in range(4):
+            w = edited(rng, item, index.search.edits(len(item)), vocabulary)
+            text = [rng.choice(vocabulary) for _ in range(rng.randint(0, 50))] + w + [rng.choice(vocabulary) for _ in range(40)]
+            true = distance(item, text)
+            found = {j: e for j, _, _, e in index.find([b" ".join(text).decode()])[0]}
+            total += 1
+            hit += i in found
+            assert true <= index.search.edits(len(item)) and found.get(i, true) == true
+    assert hit / total >= least
+
+
 def test_short_items_are_found_exactly():
     index = dc.Index(["one two three", "solo", "a b c d e f", "", None, "..."])
     found = lambda t: [h[0] for h in index.find([t])[0]]

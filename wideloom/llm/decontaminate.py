@@ -8,12 +8,16 @@ The CGK walk (Chakraborty, Goldenberg, Koucky 2016) reads a window through rando
 it outputs the word under its pointer and moves on if bit(s, word) is set.  Small edit distance
 becomes small Hamming distance of the outputs.  Bit sampling hashes a few random output positions
 per table.  Walks and tables are repeated; their number follows from the target recall of one
-window (a passage has several; the tests measure at least 0.9 for whole passages at the limit).
+window (a passage has several; the tests measure at least 0.9 for whole passages at the limit, in
+each band of lengths).
 
 Windows of texts start at every ``stride``-th word, windows of items at every word, so that an
 exact passage always meets a window of its item.  Window lengths are powers of two; an item uses
-the two largest that fit it.  Every hit is verified with the exact edit distance.  Items too short
-for any window are looked for at each occurrence of one of their words.
+the two largest that fit it.  Every hit is verified with the exact edit distance.
+
+Windows of short items are too few for that.  An item below ``short`` words is cut into one piece
+more than it may have edits: one of them is left whole in every passage, so looking for the pieces
+at every word of a text finds all passages.
 
 The items must be few enough for the tasks (``block`` at a time; a larger table takes one pass per
 block); the documents are only read, nothing is shuffled.
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -46,6 +51,7 @@ class Search:
     samples: dict = field(default_factory=lambda: {2: 2, 4: 4, 8: 6, 16: 8, 32: 10, 64: 12, 128: 14})
     agreement: float = 0.75  # assumed share of equal outputs of such a window
     block: int = 2000
+    short: int = 24  # items of fewer words are found by their pieces
 
     def tables(self, width: int) -> int:
         """Tables per walk: all walks together miss with probability 1 - recall."""
@@ -53,12 +59,19 @@ class Search:
         return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - hit) / self.walks))
 
     def widths(self, words: int) -> list[int]:
+        if words < self.short:
+            return []
         fit = [w for w in self.samples if w <= words - self.stride + 1]
         return [w for w in sorted(fit)[-2:] if w >= 8] or fit[-1:]
 
     def edits(self, words: int) -> int:
         return int(self.max_edits * words + 1e-9)
 
+    def pieces(self, words: int) -> list[tuple[int, int]]:
+        """(start, end) of the pieces of a short item: one more than its edits, about equal."""
+        n = min(self.edits(words) + 1, words)
+        return [(words * i // n, words * (i + 1) // n) for i in range(n)]
+
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
@@ -98,6 +111,17 @@ def _keys(outputs: list[np.ndarray], picks: list[int], table_id: int) -> np.ndar
     return h
 
 
+def _grams(x: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the runs of ``n`` words."""
+    return _keys([x[j:len(x) - n + 1 + j] for j in range(n)], list(range(n)), n)
+
+
+def _bits(key: np.ndarray) -> np.ndarray:
+    bits = np.zeros(1 << 17, bool)
+    bits[key >> np.uint64(47)] = True
+    return bits
+
+
 def edit_search(item: list[bytes], text: list[bytes]) -> tuple[int, int]:
     """(least edit distance of ``item`` to a run of ``text``, first end of such a run).
 
@@ -144,7 +168,7 @@ class Index:
         self.search = search
         self.items = [words(t) for t in items]
         self.widths = sorted({w for x in self.items for w in search.widths(len(x))})
-        self.tiny = [i for i, x in enumerate(self.items) if x and not search.widths(len(x))]
+        self.seeds = self._seeds([i for i, x in enumerate(self.items) if x and not search.widths(len(x))])
         pad = np.zeros(max(self.widths, default=0) * 2 + 2, np.uint64)
         entries: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self.tables = []
@@ -160,10 +184,36 @@ class Index:
                 for t, parts in found.items():
                     key, item, start = (np.concatenate(c) for c in zip(*parts))
                     order = np.argsort(key, kind="stable")
-                    bits = np.zeros(1 << 17, bool)
-                    bits[key >> np.uint64(47)] = True
                     self.tables.append((width, walk, _sampled(search, width, walk, t), t, key[order], item[order],
-                                        start[order], bits))
+                                        start[order], _bits(key)))
+
+    def _seeds(self, short: list[int]) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(words, sorted keys, item, start in the item, bits) per length of the pieces of short items."""
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        for i in short:
+            x = _codes(self.items[i])
+            for a, b in self.search.pieces(len(x)):
+                found.setdefault(b - a, []).append((int(_grams(x[a:b], b - a)[0]), i, a))
+        out = []
+        for n, rows in sorted(found.items()):
+            key = np.array([r[0] for r in rows], np.uint64)
+            item, start = np.array([r[1:] for r in rows], np.int64).T
+            order = np.argsort(key, kind="stable")
+            out.append((n, key[order], item[order], start[order], _bits(key)))
+        return out
+
+    def seeded(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Arrays (item, word position of a piece, position where the item would begin) for short items."""
+        for n, key, item, start, bits in self.seeds:
+            if len(x) < n:
+                continue
+            k = _grams(x, n)
+            at = np.flatnonzero(bits[k >> np.uint64(47)])
+            low, high = (np.searchsorted(key, k[at], side) for side in ("left", "right"))
+            times = high - low
+            at = np.repeat(at, times)
+            e = np.repeat(low, times) + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            yield item[e], at, at - start[e]
 
     def candidates(self, x: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
         """(item, word position where the item would begin) of all table hits."""
@@ -195,7 +245,7 @@ class Index:
         x = _codes([w for one in ws for w in one])
         best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
         starts = np.concatenate([np.arange(b, b + n, self.search.stride) for b, n in zip(base, size)] or [[]]).astype(np.int64)
-        todo: set[tuple[int, int, int]] = set()
+        todo: dict[tuple[int, int], set[int]] = defaultdict(set)  # (text, item): where it would begin
         for at in range(0, len(starts), 16384):
             part = starts[at:at + 16384]
             last = int(part[-1]) + (2 * self.widths[-1] if self.widths else 0) + 2
@@ -206,25 +256,26 @@ class Index:
                 doc = int(np.searchsorted(base, max(begin, int(part[0])), "right")) - 1
                 m = len(self.items[item])
                 for d in {doc, int(np.searchsorted(base, min(begin + m - 1, len(x) - 1), "right")) - 1}:
-                    todo.add((d, item, begin - int(base[d])))
-        if self.tiny and len(x):
-            for item in self.tiny:
-                for p in np.flatnonzero(np.isin(x, _codes(self.items[item]))):
-                    doc = int(np.searchsorted(base, p, "right")) - 1
-                    todo.add((doc, item, int(p - base[doc]) - len(self.items[item]) + 1))
-        done: dict[tuple[int, int], int] = {}
-        for doc, item, begin in sorted(todo):
+                    todo[d, item].add(begin - int(base[d]))
+        for item, at, begin in self.seeded(x):
+            doc = np.searchsorted(base, at, "right") - 1
+            for d, i, p in zip(doc.tolist(), item.tolist(), (begin - base[doc]).tolist()):
+                todo[d, i].add(p)
+        for (doc, item), begins in todo.items():
             m = len(self.items[item])
             limit = self.search.edits(m)
-            slack = limit + (m if item in self.tiny else 0)
-            if done.get((doc, item), -1 << 60) >= begin - limit // 2 and done.get((doc, item), -1 << 60) <= begin:
-                continue  # the same place from another table
-            a, b = max(0, begin - slack), min(len(ws[doc]), begin + m + slack)
-            got = locate(self.items[item], ws[doc][a:b], limit) if a < b else None
-            if got:
-                done[doc, item] = begin
-                one = (got[2], a + got[0], a + got[1])
-                best[doc][item] = min(best[doc].get(item, one), one)
+            places: list[list[int]] = []  # overlapping ones are searched as one
+            for begin in sorted(begins):
+                a, b = max(0, begin - limit), min(len(ws[doc]), begin + m + limit)
+                if places and a <= places[-1][1]:
+                    places[-1][1] = max(b, places[-1][1])
+                elif a < b:
+                    places.append([a, b])
+            for a, b in places:
+                got = locate(self.items[item], ws[doc][a:b], limit)
+                if got:
+                    one = (got[2], a + got[0], a + got[1])
+                    best[doc][item] = min(best[doc].get(item, one), one)
         return [[(i, s, e, k) for i, (k, s, e) in sorted(found.items())] for found in best]
 
 
