@@ -536,17 +536,17 @@ def _(spark, table):
 
 @query("component_sweep")
 def _(spark, table):
-    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31), max_iter=50), *SCORES)
+    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31)), *SCORES)
 
 
 @query("whitening_sweep")
 def _(spark, table):
-    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31), "hybrid", max_iter=50), *SCORES)
+    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 31), "hybrid"), *SCORES)
 
 
 @query("graph_sweep")
 def _(spark, table):
-    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 11), "graph", max_iter=50, threshold=0.1), *SCORES)
+    return rounded(SW.component_sweep(embeddings(table), "vec_id", "v", "label", 10, range(1, 11), "graph", threshold=0.1), *SCORES)
 
 
 @query("optimal_k_silhouette")
@@ -561,13 +561,12 @@ def _(spark, table):
 
 @query("reduction_grid")
 def _(spark, table):
-    return rounded(SW.reduction_grid(embeddings(table), "vec_id", "v", 10, ("pca", "kernel_pca", "truncated_svd"), (2, 5, 10, 20),
-                                     3, 20), "silhouette")
+    return rounded(SW.reduction_grid(embeddings(table), "vec_id", "v", 10), "silhouette")
 
 
 @query("kmeans_variants")
 def _(spark, table):
-    return rounded(SW.kmeans_variants(_z(table), "vec_id", "z", "label", 2, 3, 3, max_iter=10)[0], *SCORES)
+    return rounded(SW.kmeans_variants(_z(table), "vec_id", "z", "label", 2)[0], *SCORES)
 
 
 @query("kmeans_against_gmm")
@@ -611,8 +610,7 @@ def _(spark, table):
 def _(spark, table):
     cols = [f"f{i}" for i in range(64)]
     df = embeddings(table).select("vec_id", "label", *[F.col("v")[i].alias(c) for i, c in enumerate(cols)])
-    out, (_, k) = SW.prepare_select_reduce(df, cols, "vec_id", "label", 10, methods=("pca", "truncated_svd"), counts=(2, 5),
-                                           n_init=2, max_iter=20)
+    out, (_, k) = SW.prepare_select_reduce(df, cols, "vec_id", "label", 10)
     return out.select("vec_id", "label", rnd(F.col("z")[0]).alias("c0"), rnd(F.col("z")[1]).alias("c1"))
 
 
