@@ -49,7 +49,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all rows and their places in windows of 1024 tokens."""
     prepared(spark)
-    return packing.packed(docs)
+    return packing.packed(docs, added=True)
 
 
 STAGES = [

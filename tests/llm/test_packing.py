@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 from cases import clashing, documents, same, texts
 from wideloom.llm.packing import CapacityTree, packed, place, plan, sequences, token_pieces
 from wideloom.llm.common import stored
+from wideloom.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -101,3 +102,13 @@ def test_empty_repeated_and_extra(spark):
     assert len({(r.sequence_id, r.offset) for r in got}) == 4
     some = documents(spark, texts(3, 8))
     assert same(packed(clashing(some)).collect(), packed(some).collect())
+
+
+def test_query_gives_added_tokens_their_ids(spark, tmp_path):
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    reference = lambda text: default.encode(text or "", add_special_tokens=False).ids + [0]
+    rows = ["<|endoftext|>", "one <|endoftext|> two", "a  <|endoftext|><|endoftext|>  b\n", "<|endoftext| >", "<<|endoftext|>>",
+            "é漢 \n <|endoftext|>\n\n" + "word " * 1500 + "<|endoftext|>", "<|ENDOFTEXT|>", "plain", "", None]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    check(rows, QUERIES["op6_best_fit_packing"](spark, str(tmp_path)).collect(), reference, 1024)
+    assert reference(rows[0]) == [50256, 0]

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
+import os
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -113,14 +115,27 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> list[Segment]:
 def encoder(path: str):
     """Byte-pair encoder of the vocabulary at ``path`` (token bytes in base64, rank).
 
-    It gives the ids of the same vocabulary's JSON form; special strings are ordinary text.
+    It gives the ids of the same vocabulary's JSON form; the added tokens of that form are special.
     """
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path))
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """Content and id of the added tokens in the JSON form beside the rank file, if there is one."""
+    try:
+        with open(os.path.splitext(path)[0] + ".json", encoding="utf-8") as f:
+            added = json.load(f).get("added_tokens") or []
+    except FileNotFoundError:
+        return {}
+    for t in added:
+        if t.get("single_word") or t.get("lstrip") or t.get("rstrip"):
+            raise ValueError(f"added token {t['content']!r} depends on the text around it")
+    return {t["content"]: t["id"] for t in added}
 
 
 def default_vocabulary() -> str:
@@ -133,11 +148,13 @@ _PIECES = "lane int, rank long, start long, length long, doc_tokens long, ids bi
 
 
 def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                 vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
+                 vocabulary: str | None = None, end_id: int = 0, added: bool = False) -> DataFrame:
     """(key, lane, rank, start, length, doc_tokens, ids): the pieces of all rows.
 
     ``ids`` are little-endian unsigned 32-bit; (lane, length, rank) counts equal lengths within a
     task.  Null and empty texts are one piece, the end id alone.  A repeated row is packed again.
+    With ``added``, the added tokens of the vocabulary are single ids wherever a text has them, as its
+    tokenizer does by default; without, they are ordinary text.
     """
     prepared(docs.sparkSession)
     path = vocabulary or default_vocabulary()
@@ -145,6 +162,8 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
 
     def cut(batches):
         encode = encoder(path).encode_ordinary
+        if added:
+            encode = functools.partial(encoder(path).encode, allowed_special="all", disallowed_special=())
         seen: dict[int, int] = defaultdict(int)
         lane = TaskContext.get().partitionId()
         for batch in batches:
@@ -219,11 +238,11 @@ def sequences(placed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataF
 
 
 def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-           vocabulary: str | None = None) -> DataFrame:
+           vocabulary: str | None = None, added: bool = False) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece."""
     from wideloom.llm.common import stored
 
-    pieces = token_pieces(docs, key, text, window, vocabulary)
+    pieces = token_pieces(docs, key, text, window, vocabulary, added=added)
     light = pieces.select(key, "lane", "rank", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return place(stored(light, "pieces"), window).select(
         key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

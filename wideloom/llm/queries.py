@@ -81,7 +81,7 @@ def op5(spark, table):
 
 @query("op6_best_fit_packing")
 def op6(spark, table):
-    return packing.packed(table("documents"))
+    return packing.packed(table("documents"), added=True)
 
 
 @query("op7_repeated_strings")
