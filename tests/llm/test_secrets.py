@@ -63,6 +63,23 @@ def test_pem_and_ssh():
     assert kinds("x " + base64.b64encode(SSH + b"z").decode()) == []
 
 
+def test_pem_in_json_and_source():
+    lines = re.findall(".{1,64}", base64.b64encode(PKCS8).decode())
+    marks = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    pem = "\n".join([marks[0], *lines, marks[1]]) + "\n"
+    escaped = json.dumps(pem)[1:-1]
+    shown = [escaped, escaped.replace("/", "\\/"), json.dumps(escaped)[1:-1], pem.replace("\n", "\\r\\n")]
+    shown += [f'\\n{a} +{b}'.join([marks[0], *lines, marks[1]]) for a, b in (('"', '\n    "'), ("'", "\n  '"))]
+    shown += ['\\n"\n  "'.join([marks[0], *lines, marks[1]]), '",\n  "'.join([marks[0], *lines, marks[1]])]
+    for text in shown:
+        span = text[:text.index(marks[1]) + len(marks[1])]
+        assert ("pem_key", span) in kinds(f'{{"private_key": "{text}", "x": 1}}')
+        assert secrets._redacted(f'"{text}" y', "#").count("PRIVATE KEY") == 0
+        broken = text.replace(lines[0][:8], "AAAAAAAA")
+        assert not any(k == "pem_key" for k, _ in kinds(broken))
+    assert kinds(marks[0] + "\\" * 200_000 + marks[1]) == [] and kinds(marks[0] + "' " * 100_000) == []
+
+
 def test_signed_tokens():
     assert kinds(f"bearer {TOKEN}, and") == [("signed_token", TOKEN)]
     head, body, sign = TOKEN.split(".")

@@ -33,7 +33,13 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = BASE_KINDS + ("pem_key", "der_key", "ssh_key", "signed_token")
 
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]{1,12} ){0,3}PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+# Between the marks: base64, white space and, as in JSON and source text, escaped line ends and slashes
+# and the quotes that join the lines of a string or list.  Possessive, so every body is read once.
+_ESCAPE = r"\\++(?:[nr]|(?=/))"
+_JOIN = r"""\\*+["'][\s\\]*+(?:[+.,][\s\\]*+)?["']"""
+_PEM = re.compile(rf"-----BEGIN ((?:[A-Z0-9]{{1,12}} ){{0,3}}PRIVATE KEY)-----"
+                  rf"((?:[A-Za-z0-9+/=\s]++|{_ESCAPE}|{_JOIN})*+)-----END \1-----")
+_NOT_BODY = re.compile(rf"{_ESCAPE}|{_JOIN}")
 _B64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{60,}(?![0-9A-Fa-f])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
@@ -146,7 +152,7 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     out += [("hex", *m.span()) for m in HEX.finditer(text)]
     if "-----BEGIN" in text:
         for m in _PEM.finditer(text):
-            data = _unbase64(m[2]) or b""
+            data = _unbase64(_NOT_BODY.sub("", m[2])) or b""
             if is_der_key(data) or is_ssh_key(data):
                 out.append(("pem_key", *m.span()))
     for m in _B64.finditer(text):
