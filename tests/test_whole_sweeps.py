@@ -20,8 +20,8 @@ def given(spark, monkeypatch, query, module, name):
     def called(*args, **kwargs):
         raise Called(inspect.signature(fn).bind(*args, **kwargs).arguments)
 
-    monkeypatch.setattr(module, name, called)
-    with pytest.raises(Called) as got:
+    with monkeypatch.context() as m, pytest.raises(Called) as got:
+        m.setattr(module, name, called)
         QUERIES[query](spark, SF)
     return got.value.args[0]
 
@@ -35,3 +35,19 @@ LIMITS = {"max_iter", "n_init", "enhanced_init", "which", "methods"}
     ("kmeans_variants", "kmeans_variants", set()), ("prepare_select_reduce", "prepare_select_reduce", {"counts"})])
 def test_sweeps_keep_the_operators_limits(spark, monkeypatch, query, name, fixed):
     assert not set(given(spark, monkeypatch, query, C.SW, name)) & (LIMITS | fixed)
+
+
+def test_fits_run_to_their_own_limits(spark, monkeypatch):
+    def of(query, module, name):
+        return given(spark, monkeypatch, query, module, name)
+
+    assert not set(of("affinity_propagation", C.AP, "affinity_propagation")) & LIMITS
+    assert not set(of("approach_comparison", C.SW, "approach_comparison")) & LIMITS
+    assert set(of("approach_comparison", C.SW, "approach_comparison")["approaches"]) == set(C.SW.APPROACHES)
+    for metric in C.K.METRICS:
+        assert not set(of(f"enhanced_kmeans_{metric}", C.K, "enhanced_kmeans")) & LIMITS
+    rounds = inspect.signature(C.AP.affinity_propagation).parameters["max_iter"].default
+    assert rounds == 200
+    for name in ("many_algorithms", "ensemble_selection"):
+        got = of(name, C.SW, name)
+        assert (got.get("options") or got)["max_iter"] == rounds and "which" not in (got.get("options") or got)

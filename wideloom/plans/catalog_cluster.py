@@ -125,7 +125,7 @@ def _enhanced(metric):
     @query(f"enhanced_kmeans_{metric}")
     def _(spark, table):
         z = _z(table)
-        return K.enhanced_kmeans(z, "vec_id", "z", 2, metric, n_init=5, max_iter=10).transform(z, "z").select("vec_id", "cluster")
+        return K.enhanced_kmeans(z, "vec_id", "z", 2, metric).transform(z, "z").select("vec_id", "cluster")
 
 
 for _m in K.METRICS:
@@ -295,11 +295,16 @@ e{t + 1} AS MATERIALIZED (SELECT i, k, s, r, 0.5 * a + 0.5 * CASE WHEN i = k THE
     return out + f" SELECT i AS vec_id, arg_max(k, a + r) AS exemplar FROM e{rounds} GROUP BY i"
 
 
-@query("affinity_propagation", _affinity_sql(6, 20))
+@query("affinity_rounds", _affinity_sql(6, 20))
 def _(spark, table):
     return AP.affinity_propagation(embeddings(table), "vec_id", "v", max_iter=6, neighbors=20)
 
 
+@query("affinity_propagation")
+def _(spark, table):
+    return AP.affinity_propagation(embeddings(table), "vec_id", "v", neighbors=20)
+
+
 TUPLES = "(SELECT vec_id, label, CAST(vec_id % 3 AS INTEGER) AS a, CAST(vec_id % 2 AS INTEGER) AS b, CASE WHEN vec_id % 5 = 0 THEN -1 ELSE CAST(label % 4 AS INTEGER) END AS c FROM embeddings)"
 
 
@@ -581,14 +586,13 @@ def _(spark, table):
 
 @query("many_algorithms")
 def _(spark, table):
-    out = SW.many_algorithms(_z(table, 3), "vec_id", "z", "label", 3, 0.5, 5, max_iter=6, neighbors=10)[1]
+    out = SW.many_algorithms(_z(table, 3), "vec_id", "z", "label", 3, 0.5, 5, neighbors=10, max_iter=200)[1]
     return rounded(out, *SCORES).drop("seconds")
 
 
 @query("ensemble_selection")
 def _(spark, table):
-    out = SW.ensemble_selection(_z(table, 3), "vec_id", "z", "label", 4, n_init=2, max_iter=20,
-                                which=("kmeans", "agglomerative_ward", "agglomerative_average", "dbscan", "mean_shift"))[1]
+    out = SW.ensemble_selection(_z(table, 3), "vec_id", "z", "label", 4, max_iter=200)[1]
     return rounded(out, *SCORES).drop("seconds")
 
 
@@ -601,8 +605,7 @@ def _(spark, table):
 
 @query("approach_comparison")
 def _(spark, table):
-    out = SW.approach_comparison(embeddings(table), "vec_id", "v", "label", ("whitened_pca", "kernel_pca", "zca_pca", "hybrid",
-                                                                             "graph_selection_pca"), 5, 2, 2, 20)
+    out = SW.approach_comparison(embeddings(table), "vec_id", "v", "label", tuple(SW.APPROACHES), 5, 2)
     return rounded(out, *SCORES)
 
 
