@@ -92,6 +92,15 @@ def _(spark, table):
     return rounded(FT.pair_products(embeddings(table), "v", "label", range(20)), "f")
 
 
+PAIR_ALL = f"(SELECT a.i AS a, b.i AS b, a.label, a.x * b.x AS x FROM {EMB_LONG} a JOIN {EMB_LONG} b ON a.vec_id = b.vec_id AND a.i < b.i)"
+
+
+@query("pair_f_test_all", ANOVA.format(key="a, b", src=PAIR_ALL) +
+       "SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, round(f, 6) + 0.0 AS f FROM f ORDER BY f DESC, a, b LIMIT 10")
+def _(spark, table):
+    return rounded(FT.pair_products(embeddings(table), "v", "label", range(64)), "f")
+
+
 @query("forest_importance")
 def _(spark, table):
     return FT.importance_table(embeddings(table), "v", "label", 20, 20)
@@ -327,6 +336,11 @@ def _(spark, table):
     return rounded(out.where(F.col("method").isin("pca_whiten", "zca", "cholesky", "mahalanobis", "adaptive_1.0")), "cov", digits=3)
 
 
+@query("whitening_comparison_all")
+def _(spark, table):
+    return rounded(R.compare_whitening(embeddings(table), "v", 2), "cov", digits=3)
+
+
 # ---- reductions without a closed form: scores compared in the tests ---------------------------------
 
 def _scores(name, k, fit):
