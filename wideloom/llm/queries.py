@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wideloom.llm import (
-    decontaminate, fingerprints, ngram_join, packing, quality, repeats, secrets, sharding, toxicity, url_filter)
+    decontaminate, divergence, fingerprints, ngram_join, packing, quality, repeats, secrets, sharding, toxicity, url_filter)
 from wideloom.llm.common import fold, prepared, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,32 @@ def op9(spark, table):
 def op10(spark, table):
     return sharding.shard_documents(table("documents"), 8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+o AS (SELECT k, lang, source, term, count(*) AS n FROM (SELECT k, lang, source, unnest(t) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term FROM o GROUP BY ALL HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT lang, source, term, sum(n) AS n FROM o SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+c AS (SELECT lang, source, term, coalesce(n, 0)::HUGEINT AS n, sum(coalesce(n, 0)::HUGEINT) OVER (PARTITION BY lang, source) AS total, v
+  FROM g JOIN kept USING (lang) LEFT JOIN s USING (lang, source, term) JOIN v USING (lang)),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (total + 5 * v) AS p FROM c),
+l AS (SELECT lang, term, sum(n) AS n, any_value(v) AS v FROM c GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM l),
+w AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term
+  AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN w ON w.lang = a.lang AND w.source = a.source AND w.item = b.source),
+term AS (SELECT lang, source, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+every AS (SELECT *, 'pair' AS part FROM pair UNION ALL SELECT *, 'term' FROM term)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 50"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13(spark, table):
+    return divergence.source_divergence(table("documents"))
