@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wideloom.llm import (
-    decontaminate, divergence, fingerprints, ngram_join, packing, quality, repeats, secrets, sharding, toxicity, url_filter)
+    class_lm, decontaminate, divergence, fingerprints, ngram_join, packing, quality, repeats, secrets, sharding,
+    spelling, toxicity, url_filter)
 from wideloom.llm.common import fold, prepared, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +151,37 @@ FROM every QUALIFY part = 'pair' OR rank <= 50"""
 @query("op13_source_divergence", DIVERGENCE_SQL)
 def op13(spark, table):
     return divergence.source_divergence(table("documents"))
+
+
+SPELLING_SQL = r"""
+WITH RECURSIVE crc(t) AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, s: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END))),
+d AS (SELECT row_number() OVER () AS k, coalesce(doc_id::VARCHAR, '') AS doc, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+') AS r FROM documents),
+o AS (SELECT k, doc, run, count(*) AS n FROM (SELECT k, doc, unnest(r) AS run FROM d) WHERE length(run) >= 7 GROUP BY ALL),
+b AS (SELECT *, flatten(list_transform(string_split(doc || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+    ELSE [192 | (unicode(x) >> 6)::BIGINT, 128 | (unicode(x) & 63)::BIGINT] END)) AS bytes FROM o),
+h AS (SELECT run, n, xor(4294967295, list_reduce([4294967295] || bytes, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h FROM b, crc),
+e AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM e WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+c AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+x AS (SELECT c.word, w.word AS near FROM c JOIN w ON w.word = c.a || c.z),
+p AS (SELECT * FROM x UNION SELECT near, word FROM x
+  UNION SELECT c.word, o.word FROM c JOIN c o ON c.a || ' ' || c.z = o.a || ' ' || o.z WHERE c.word <> o.word),
+f AS MATERIALIZED (SELECT w.word, w.n, count(v.word) AS n_near, first(v.word ORDER BY v.n DESC, v.word) AS form, max(v.n) AS form_n
+  FROM w LEFT JOIN p ON p.word = w.word LEFT JOIN w v ON v.word = p.near GROUP BY w.word, w.n),
+g AS MATERIALIZED (SELECT word, n, n_near, CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM f),
+r(word, root, form) AS (SELECT word, word, form FROM g UNION ALL SELECT r.word, g.word, g.form FROM r JOIN g ON g.word = r.form)
+SELECT g.word, g.form, r.root, g.n, g.n_near, g.form_n FROM g JOIN r ON r.word = g.word AND r.form IS NULL"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11(spark, table):
+    return spelling.spelling_variants(table("documents"), least_letters=7, least=2, every=31, ratio=10).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_class_lm")
+def op12(spark, table):
+    return class_lm.scored_documents(table("documents"), fold("doc_id", 7) == 2)
