@@ -130,10 +130,10 @@ def test_classes_are_learned(spark):
     """Words of two alternating kinds: the classes find the kinds, and the score beats single words."""
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(("ab", "xy")[j % 2]) + str(rng.randint(0, 400)) for j in range(60))) for i in range(200)]
-    df = scored(spark, rows, classes=2, frequent=1000, rounds=4)
+    df = scored(spark, rows, classes=2, frequent=2000, rounds=10)
     r = df.where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert r[0] / r[2] > r[1] / r[2] + 0.2
-    model, _ = model_of(spark, rows, classes=2, frequent=1000, rounds=4)
+    model, _ = model_of(spark, rows, classes=2, frequent=2000, rounds=10)
     assert model.rounds[-1] > model.rounds[0]
 
 

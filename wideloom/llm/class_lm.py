@@ -7,8 +7,8 @@ for a word of the training texts, and ``u`` in all for unknown ones; summed over
 2. The ``frequent`` words with the most occurrences (a parameter: their table fits in every task)
    make up the history.  Exchange clustering moves each of them to the class that raises the
    likelihood of the class bigrams most.  A round sums, in one pass over the texts, how often every
-   frequent word stands next to each class; these sums have a fixed size, whatever the input.  Half
-   of the words may move in a round, the halves by turns, and the best assignment seen is kept.
+   frequent word stands next to each class; these sums have a fixed size, whatever the input.  After a
+   few rounds only half of the words may move in one, by turns; the best assignment seen is kept.
 3. Every other word of the training texts joins, by the same exchange step, the class that gives its
    occurrences between the classes around them the highest likelihood.  Its occurrences are counted per
    pair of neighbouring classes first, so no word has an unbounded group.
@@ -37,7 +37,8 @@ from wideloom.llm.common import prepared, signed, small, stored, whole_text
 
 CLASSES = 32
 FREQUENT = 16_384
-ROUNDS = 6
+ROUNDS = 8
+WHOLE = 4  # rounds in which every word may move
 MIX = 0.1
 PRIOR = 8.0  # weight of the lower order, in occurrences, when transitions are smoothed
 TOKENS = 1 << 22  # tokens that a task counts at once
@@ -241,7 +242,7 @@ def word_classes(encoded: DataFrame, frequent: np.ndarray, classes: int = CLASSE
         if seen[-1] >= max(seen):
             best = class_of
         if i < rounds:
-            turn = order[(order % 2 == i % 2) | (i == 0)]
+            turn = order[(order % 2 == i % 2) | (i < WHOLE)]
             class_of = exchange(counts, class_of, turn)
     return best, seen
 
