@@ -26,7 +26,7 @@ from wideloom.operators.hierarchy import _label_by_micro, ensemble, micro_cluste
 from wideloom.operators.kmeans import KMeansModel, Spec, fit_many, kmeans
 from wideloom.operators.meanshift import mean_shift
 from wideloom.operators.prep import handle_outliers, scale
-from wideloom.plans.steps import APPROACHES, combined_features
+from wideloom.plans.steps import APPROACHES, combined_features, scale_vector
 from wideloom.session import cut_lineage
 
 
@@ -291,27 +291,29 @@ def reduction_by_clustering(df: DataFrame, key: str, vec: str, label: str, compo
 
 def approach_comparison(df: DataFrame, key: str, vec: str, label: str, approaches: Sequence[str], components: int = 20,
                         k: int = 2, n_init: int = 3, max_iter: int = 300) -> DataFrame:
-    """Named feature approaches, each clustered by k-means and by a mixture; one row per
-    approach with the better of the two by F1."""
+    """Named feature approaches on the standardised rows, each clustered by k-means and by a mixture;
+    one row per approach with the better of the two by F1."""
     rows = None
+    data = df.select(key, label, F.col(vec).alias("v"))
+    data = scale_vector(data, "v", "standard").transform(data, "v", "v").persist()
     for name in approaches:
-        z = APPROACHES[name](df.select(key, label, F.col(vec).alias("v")), key, "v", label, components).persist()
+        z = APPROACHES[name](data, key, "v", label, components).persist()
         models: dict = fit_many(z, key, "v", {"kmeans": Spec(k, n_init)}, max_iter)
         models["gmm"] = gmm(z, key, "v", k, "diag", max_iter)
         scored = _landed(score_models(z, "v", label, models))
         best = E.best_by(scored, "f1", "run").select(
             F.lit(name).alias("approach"), F.lit(width(z, "v")).alias("n_features"), *E.METRICS,
             F.col("run").alias("best_method"))
+        best = _landed(best)
         rows = best if rows is None else rows.unionByName(best)
         z.unpersist()
+    data.unpersist()
     return rows
 
 
 def whitened_kmeans(df: DataFrame, key: str, vec: str, label: str, components: int = 15, k: int = 2, n_init: int = 10,
                     max_iter: int = 300) -> tuple[DataFrame, DataFrame]:
     """Standardise, whitened PCA, k-means, six metrics: the labelled rows and the scores."""
-    from wideloom.plans.steps import scale_vector
-
     scaled = scale_vector(df, vec, "standard").transform(df, vec, "_s")
     z = R.pca(scaled, "_s", components, True).transform(scaled, "_s", "_z").select(key, label, "_z")
     model = fit_many(z, key, "_z", {"m": Spec(k, n_init)}, max_iter)["m"]  # keeps the rows while it fits
