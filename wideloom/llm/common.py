@@ -132,5 +132,15 @@ class SubstringHashes:
         return mix((self.sums[length:] - self.sums[:n]) * _powers["down"][:n])
 
 
+def run_hashes(codes: np.ndarray, length: int) -> np.ndarray:
+    """64-bit hashes of every ``length`` consecutive 64-bit codes, each in constant time."""
+    n = len(codes)
+    if n < length:
+        return np.zeros(0, np.uint64)
+    _grown(n + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * _powers["up"][:n], dtype=np.uint64)])
+    return mix((sums[length:] - sums[:n - length + 1]) * _powers["down"][:n - length + 1])
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)

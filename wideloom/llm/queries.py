@@ -88,7 +88,7 @@ def op6(spark, table):
 @query("op7_repeated_strings")
 def op7(spark, table):
     return repeats.without_repeats(table("documents")).select(
-        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256", "shares_passage")
 
 
 @query("op8_toxicity")

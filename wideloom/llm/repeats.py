@@ -30,9 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from wideloom.llm.common import SubstringHashes, prepared, signed, small, stored, streamed_groups, whole_text
+from wideloom.llm.common import SubstringHashes, prepared, run_hashes, signed, small, stored, streamed_groups, whole_text
 
 SPANS_PER_TASK = 4096
 BATCH_BYTES = 4 << 20
@@ -76,7 +75,7 @@ def _runs(on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _sample(length: int, cover: list[int], v: int):
     size = length - v + 1
-    schema = pa.schema([("name", pa.int64()), ("tid", pa.int64())])
+    schema = pa.schema([("name", pa.int64()), ("tid", pa.int64()), ("sure", pa.bool_())])
 
     def flush(names: list[np.ndarray], tids: list[int]):
         every = np.concatenate(names)
@@ -85,16 +84,16 @@ def _sample(length: int, cover: list[int], v: int):
         every, owner = every[order], owner[order]
         first = np.concatenate([[True], every[1:] != every[:-1]])
         many = (np.bincount(np.cumsum(first) - 1) > 1)[np.cumsum(first) - 1]
-        # A name seen twice here marks its texts at once and goes on without them, as two rows.
+        # A name seen twice here marks its texts at once and goes on without them, as two rows; the marked
+        # texts travel under their own hash.
         once, again = ~many, every[many & first]
         marked = np.unique(owner[many])
-        name = np.concatenate([signed(every[once]), signed(np.repeat(again, 2)), np.zeros(len(marked), np.int64)])
-        none = np.zeros(len(name), bool)
-        none[once.sum() + 2 * len(again):] = True
+        name = np.concatenate([signed(every[once]), signed(np.repeat(again, 2)), marked])
         tid = np.concatenate([owner[once], np.zeros(2 * len(again), np.int64), marked])
-        hidden = np.zeros(len(name), bool)
+        hidden, sure = np.zeros(len(name), bool), np.zeros(len(name), bool)
         hidden[once.sum():once.sum() + 2 * len(again)] = True
-        return pa.RecordBatch.from_arrays([pa.array(name, mask=none), pa.array(tid, mask=hidden)], schema=schema)
+        sure[once.sum() + 2 * len(again):] = True
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(tid, mask=hidden), pa.array(sure)], schema=schema)
 
     def sample(batches):
         for batch in batches:
@@ -255,6 +254,44 @@ def _cut(length: int):
     return cut
 
 
+def _passages(words: int, gram: int):
+    """Winnowing: of every ``words - gram + 1`` consecutive grams of words the one of least hash, so that two
+    texts with ``words`` equal consecutive words have a gram in common.  A row per text and gram."""
+
+    def find(batches):
+        for batch in batches:
+            names, owners = [], []
+            for t, tid in zip(batch.column("t").to_pylist(), batch.column("tid").to_pylist()):
+                data = t.encode("utf-8")
+                space = np.frombuffer(data, np.uint8) <= 32
+                edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
+                starts, ends = edge[::2], edge[1::2]
+                if len(starts) < words:
+                    continue
+                # A gram's hash depends on its words alone, not on what is between them.
+                grams = run_hashes(SubstringHashes(data).of(starts, ends), gram)
+                least = np.unique(sliding_least(grams, words - gram + 1))
+                names.append(signed(least))
+                owners += [tid] * len(least)
+            if names:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), pa.array(owners, pa.int64())], names=["name", "tid"])
+
+    return find
+
+
+def shared_passages(docs: DataFrame, text: str = "text", words: int = 51, gram: int = 41) -> DataFrame:
+    """(tid): xxhash64 of the texts that share a passage with another row, copies included.
+
+    Every text is found of which another row has ``words`` consecutive words, and none that shares
+    fewer than ``gram``; in between the choice of grams decides.
+    """
+    prepared(docs.sparkSession)
+    rows = docs.select(whole_text(text).alias("t")).select("t", F.xxhash64("t").alias("tid"))
+    names = rows.mapInArrow(_passages(words, gram), "name long, tid long").repartition("name")
+    twice = names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    return names.join(twice, "name", "left_semi").select("tid").distinct()
+
+
 def repeated_ranges(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
     """(digest, n_removed, starts, stops, kept_sha256) for each distinct text with repeats.
 
@@ -266,9 +303,10 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = 400) -> D
     k = max(1, min(32, length // 5))
     long = docs.select(whole_text(text).alias("t")).where(F.octet_length("t") >= length)
 
-    names = long.select("t", F.xxhash64("t").alias("tid")).mapInArrow(_sample(length, cover, v), "name long, tid long")
-    names = names.withColumn("n", F.count("*").over(Window.partitionBy("name")))
-    marked = names.where("tid is not null and (name is null or n > 1)").select("tid").distinct()
+    names = long.select("t", F.xxhash64("t").alias("tid")).mapInArrow(
+        _sample(length, cover, v), "name long, tid long, sure boolean").repartition("name")  # one shuffle for counting and marking
+    twice = names.where("not sure").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name", F.lit(True).alias("twice"))
+    marked = names.where("tid is not null").join(twice, "name", "left").where("sure or twice").select("tid").distinct()
     marked = stored(marked, "repeat-texts")
     digest = F.unhex(F.md5(F.encode("t", "UTF-8")))
     with_repeats = long.withColumn("tid", F.xxhash64("t")).join(small(marked, 1_000_000), "tid", "left_semi")
@@ -302,13 +340,18 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = 400) -> D
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
-    """(key, n_bytes, n_removed, starts, stops, kept_sha256) for every row of ``docs``."""
+    """(key, n_bytes, n_removed, starts, stops, kept_sha256, shares_passage) for every row of ``docs``.
+
+    ``shares_passage`` tells whether more than 50 consecutive words are in another row too, which
+    shorter passages than ``length`` bytes are not removed for (see ``shared_passages``).
+    """
     body = F.encode(whole_text(text), "UTF-8")
     rows = docs.select(F.col(key), F.octet_length(body).cast("long").alias("n_bytes"), F.unhex(F.md5(body)).alias("digest"),
-                       F.sha2(body, 256).alias("_sha"))
+                       F.sha2(body, 256).alias("_sha"), F.xxhash64(whole_text(text)).alias("_tid"))
     found = stored(repeated_ranges(docs, text, length), "repeat-ranges")
+    shared = stored(shared_passages(docs, text), "repeat-passages").select(F.col("tid").alias("_tid"), F.lit(True).alias("_shared"))
     none = F.array().cast("array<bigint>")
-    return rows.join(found, "digest", "left").select(
+    return rows.join(found, "digest", "left").join(small(shared, 1_000_000), "_tid", "left").select(
         key, "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("starts", none).alias("starts"), F.coalesce("stops", none).alias("stops"),
-        F.coalesce("kept_sha256", "_sha").alias("kept_sha256"))
+        F.coalesce("kept_sha256", "_sha").alias("kept_sha256"), F.coalesce("_shared", F.lit(False)).alias("shares_passage"))
