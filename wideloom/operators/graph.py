@@ -171,7 +171,7 @@ def _meetings(points: DataFrame, edges: DataFrame, rows: int, k: int, turn: int)
     return join_groups(met, vectors, "key", "weight", 3 * rows * k, limit=10_000)
 
 
-def neighbor_graph(df: DataFrame, key: str, vec: str, k: int, trees: int = 4, leaf: int = 512, rounds: int = 6,
+def neighbor_graph(df: DataFrame, key: str, vec: str, k: int, trees: int = 4, leaf: int = 1024, rounds: int = 6,
                    width: int | None = None, seed: int = 42) -> DataFrame:
     """(key, neighbor, distance): about the k nearest other rows of every row.
 

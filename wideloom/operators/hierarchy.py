@@ -15,6 +15,7 @@ from wideloom.operators.kmeans import KMeansModel, Spec, fit_many
 from wideloom.operators.neighbors import pair_distances
 from wideloom.operators.reduce import Gram, gram
 from wideloom.operators.rowsums import sum_rows
+from wideloom.operators.spanning import single_linkage
 
 LINKAGES = ("single", "complete", "average", "ward")
 
@@ -92,12 +93,16 @@ def micro_clusters(df: DataFrame, key: str, vec: str, m: int, rounds: int = 300)
 
 def agglomerative(df: DataFrame, key: str, vec: str, k: int, linkage: str = "ward", max_micro: int = 512,
                   out: str = "cluster") -> DataFrame:
-    """Agglomerative clustering in two stages; rows follow their micro-cluster.
+    """Agglomerative clustering; ``single`` linkage is exact at any size, by the spanning tree, and the
+    others merge in two stages, rows following their micro-cluster.
 
     ``max_micro`` is the resolution of the first stage.  Ward merging is exact for the
     micro-cluster partition (it needs only sizes and centers); the other linkages measure
     between centers.  With no more distinct rows than micro-clusters all are exact.
     """
+    if linkage == "single":
+        labels = single_linkage(df, key, vec, k, out="_group").withColumnRenamed(key, "_row")
+        return df.join(labels, F.col(key) == F.col("_row")).withColumn(out, F.col("_group")).drop("_row", "_group")
     model, sizes = micro_clusters(df, key, vec, max_micro)
     return _label_by_micro(df, vec, model, micro_tree(model.centers, sizes, k, linkage), out)
 

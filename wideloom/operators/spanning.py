@@ -9,12 +9,12 @@ larger key), so equal distances make no cycle.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-import pyarrow as pa
 
-from wideloom.functions.joins import join_groups
+from wideloom.functions.joins import join_groups, measured_broadcast
 from wideloom.functions.vectors import to_complete_matrix
 from wideloom.operators.components import connected_components
 from wideloom.operators.neighbors import BLOCK, block_join, pair_distances
@@ -93,20 +93,27 @@ def spanning_tree(df: DataFrame, key: str, vec: str, block: int = BLOCK) -> Data
     return spanning_links(df.select(k.alias("i"), F.col(vec).alias("vec"), k.alias("root")), block)
 
 
-def single_linkage(df: DataFrame, key: str, vec: str, k: int, out: str = "cluster", block: int = BLOCK) -> DataFrame:
-    """(key, cluster): exact single-linkage clustering into ``k`` groups, numbered by their smallest key.
+def single_linkage(df: DataFrame, key: str, vec: str, k: int | None = None, height: float | None = None, out: str = "cluster",
+                   block: int = BLOCK) -> DataFrame:
+    """(key, cluster): exact single-linkage clustering, numbered by the groups' smallest keys.
 
     The groups are what is left of the spanning tree without its k - 1 longest links (ties: the ones
-    of larger keys go first).  Rows of equal vectors are one point.
+    of larger keys go first), or without those longer than ``height``.  Rows of equal vectors are one
+    point; rows without a vector are left out.
     """
+    if (k is None) == (height is None):
+        raise ValueError("give either a number of groups or a height")
     from wideloom.operators.dbscan import attach_ids, merge_copies
     from wideloom.operators.ranks import cumulative
 
     points = cut_lineage(merge_copies(df.where(F.col(vec).isNotNull()), key, vec))
     rows, distinct = points.agg(F.sum("weight"), F.count("*")).first()
     tree = cut_lineage(spanning_tree(points, "id", "vec", block))
-    cut = tree.orderBy(F.desc("distance"), F.desc("u"), F.desc("v")).limit(min(k, distinct) - 1).select("u", "v")
-    left = tree.join(F.broadcast(cut), ["u", "v"], "left_anti") if k > 1 else tree
+    if height is not None:
+        left = tree.where(F.col("distance") <= float(height))
+    else:
+        cut = tree.orderBy(F.desc("distance"), F.desc("u"), F.desc("v")).limit(min(k, distinct) - 1)
+        left = tree.join(measured_broadcast(cut.select("u", "v")), ["u", "v"], "left_anti")
     roots = connected_components(left.select(F.lit(0).alias("run"), "u", "v"))
     home = points.select("id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
     numbers = cumulative(home.select("root").distinct(), [], "root", {"one": F.count("*")}).select(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wideloom.functions.vectors import matrix_column, width
 from wideloom.operators import features as FT
+from wideloom.operators import manifold as MF
 from wideloom.operators import reduce as R
 from wideloom.operators.hierarchy import feature_agglomeration
 from wideloom.operators.prep import robust_vector_stats
@@ -68,6 +69,12 @@ def _select_model(df, key, vec, label, p, k):
     return _select(df, vec, FT.select_from_model(imp, p.get("threshold", "mean"), p.get("max_features")))
 
 
+def _embedded(df, key, vec, found):
+    """The frame with each row's embedding as its vector."""
+    found = found.select(F.col(key).alias("_row"), F.col("embedding").alias("_place"))
+    return df.join(found, F.col(key) == F.col("_row")).withColumn(vec, F.col("_place")).drop("_row", "_place")
+
+
 STEPS: dict[str, Callable] = {
     "scaling": lambda df, key, vec, label, p, k: scale_vector(df, vec, p.get("type", "standard")).transform(df, vec, vec),
     "polynomial": _polynomial,
@@ -86,6 +93,12 @@ STEPS: dict[str, Callable] = {
     "select_from_model": _select_model,
     "dictionary_learning": lambda df, key, vec, label, p, k: R.dictionary_learning(
         df, vec, _k(df, vec, p, k), p.get("alpha", 1.0)).transform(df, vec, vec),
+    "isomap": lambda df, key, vec, label, p, k: _embedded(df, key, vec, MF.isomap(
+        df, key, vec, _k(df, vec, p, k), p.get("n_neighbors", 5))),
+    "lle": lambda df, key, vec, label, p, k: _embedded(df, key, vec, MF.locally_linear_embedding(
+        df, key, vec, _k(df, vec, p, k), p.get("n_neighbors", 5))),
+    "spectral": lambda df, key, vec, label, p, k: _embedded(df, key, vec, MF.spectral_embedding(
+        df, key, vec, _k(df, vec, p, k), p.get("n_neighbors", 15) - 1)[1]),
     "truncated_svd": lambda df, key, vec, label, p, k: R.truncated_svd(
         df, vec, _k(df, vec, p, k)).transform(df, vec, vec),
     "select_percentile": lambda df, key, vec, label, p, k: _select(df, vec, FT.best_percentile(
