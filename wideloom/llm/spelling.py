@@ -10,9 +10,11 @@ One edit (a code point inserted, deleted or replaced) destroys at most one of tw
    one of r's prefix, it is in that prefix.
 3. Position limits: if the edit lies behind the left pivot, that gram has the same distance from the
    start in both words and what leads up to it is equal; if not, the edit lies before the right
-   pivot, which has the same distance from the end, and what follows it is equal.  So each word has
-   two pivot keys, and two keys for every bigram of its prefix.
-4. Words that meet under a key are verified by their edit distance.
+   pivot, which has the same distance from the end, and what follows it is equal.
+4. The letters on the other side of the pivot are cut in halves, one of which the edit leaves whole.
+   A key is the position, the equal letters at the pivot and such a half: every word asks with four
+   keys, and has eight for each bigram of its prefix, as the other word may be a letter longer or shorter.
+5. Words that meet under a key, with half of their letters equal, are verified by their edit distance.
 
 There are at most ``LETTERS`` squared bigrams, whatever the vocabulary, so the ranking fits in every
 task.  Words are counted in the tasks before anything is shuffled, so a frequent one is no hot key.
@@ -24,11 +26,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wideloom.llm.common import prepared, stored, whole_text
+from wideloom.llm.common import prepared, signed, stored, whole_text
 
 LETTERS = 26 + 64  # a-z and U+00C0 to U+00FF
 FLUSH = 200_000  # distinct words that a task counts before it sends them on
@@ -94,6 +98,27 @@ def disjoint_pair(grams: list[tuple[int, int]], width: int = 2) -> tuple[int, in
     return best[1], best[2]
 
 
+def _behind(word: str, end: int, near: int, far: int) -> tuple[str, str]:
+    """Keys of a word whose first ``end`` letters are equal, and then the next ``near`` or its last ``far``."""
+    return f"<{end} {word[:end + near]}", f"({end} {word[:end]} {word[len(word) - far:]}"
+
+
+def _before(word: str, start: int, near: int, far: int) -> tuple[str, str]:
+    """The same for the letters from ``start`` on, and the ``near`` before them or the first ``far``."""
+    return f">{len(word) - start} {word[start - near:]}", f"){len(word) - start} {word[start:]} {word[:far]}"
+
+
+def _index_keys(word: str, at: int) -> set[str]:
+    out = set()
+    for side, place, beside in ((_behind, at + 2, len(word) - at - 2), (_before, at, at)):
+        for d in (-1, 0, 1):
+            other = max(0, beside + d)  # letters on that side of the word that asks
+            near, far = other // 2, other - other // 2
+            keys = side(word, place, min(near, beside), min(far, beside))
+            out.update(k for k, size in zip(keys, (near, far)) if size <= beside)
+    return out
+
+
 def _signatures(rank: dict[str, int], weight: dict[str, int]):
     """A row per key of a word: ``pivot`` keys ask, the others are the index."""
 
@@ -105,19 +130,20 @@ def _signatures(rank: dict[str, int], weight: dict[str, int]):
                 ranks = [rank[g] for g in grams]
                 last = sorted(ranks)[:3][-1]
                 prefix = [i for i, r in enumerate(ranks) if r <= last]
-                own = []
-                if len(word) > 3:  # shorter words have no two disjoint bigrams
-                    left, right = disjoint_pair([(i, weight[grams[i]]) for i in prefix])
-                    own = [(True, "<" + word[:left + 2]), (True, ">" + word[right:])]
-                own += [(False, k) for i in prefix for k in ("<" + word[:i + 2], ">" + word[i:])]
+                left, right = disjoint_pair([(i, weight[grams[i]]) for i in prefix])
+                behind = len(word) - left - 2
+                own = [*_behind(word, left + 2, behind // 2, behind - behind // 2), *_before(word, right, right // 2, right - right // 2)]
+                asked = len(own)
+                own += set().union(*(_index_keys(word, i) for i in prefix))
                 words += [word] * len(own)
                 counts += [n] * len(own)
                 lasts += [last] * len(own)
-                pivots += [p for p, _ in own]
-                keys += [k for _, k in own]
+                pivots += [True] * asked + [False] * (len(own) - asked)
+                keys += own
+            names = np.fromiter((xxhash.xxh3_64_intdigest(k.encode("utf-8")) for k in keys), np.uint64, len(keys))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array(lasts, pa.int32()),
-                 pa.array(pivots, pa.bool_()), pa.array(keys, pa.string())], names=["word", "n", "last", "pivot", "key"])
+                 pa.array(pivots, pa.bool_()), pa.array(signed(names))], names=["word", "n", "last", "pivot", "key"])
 
     return sign
 
@@ -132,7 +158,7 @@ def near_words(words: DataFrame) -> DataFrame:
     ranked = words.select(grams.alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).collect()  # LETTERS ** 2 at most
     weight = {r["gram"]: r["n"] for r in ranked}
     rank = {g: i for i, g in enumerate(sorted(weight, key=lambda g: (weight[g], g)))}
-    keys = stored(words.mapInArrow(_signatures(rank, weight), "word string, n long, last int, pivot boolean, key string"),
+    keys = stored(words.mapInArrow(_signatures(rank, weight), "word string, n long, last int, pivot boolean, key long"),
                   "spelling-keys")
     asks = keys.where("pivot").select("key", "word", "n", F.col("last").alias("one"))
     index = keys.where("not pivot").select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("two"))
