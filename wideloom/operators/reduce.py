@@ -207,6 +207,117 @@ def polynomial_pca(df: DataFrame, vec: str, k: int, degree: int = 2, interaction
     return pca_from_gram(gram(df, vec, pre), k, pre=pre)
 
 
+TERMS = 1 << 14  # polynomial terms expanded at once
+_term_index: dict[tuple, np.ndarray] = {}
+
+
+def _index_of_terms(p: int, degree: int, interaction_only: bool) -> np.ndarray:
+    """The factors of every term, padded with ``p`` (a factor of one); kept once per worker."""
+    name = (p, degree, interaction_only)
+    if name not in _term_index:
+        if degree == 2:
+            a, b = np.triu_indices(p, 1 if interaction_only else 0)
+            out = np.full((p + len(a), 2), p, np.int32)
+            out[:p, 0], out[p:, 0], out[p:, 1] = np.arange(p), a, b
+        else:
+            terms = poly_terms(p, degree, interaction_only)
+            out = np.full((len(terms), degree), p, np.int32)
+            for i, t in enumerate(terms):
+                out[i, :len(t)] = t
+        _term_index[name] = out
+    return _term_index[name]
+
+
+class _TermBlocks:
+    """Polynomial terms of some rows, ``TERMS`` columns at a time."""
+
+    def __init__(self, p: int, degree: int, interaction_only: bool):
+        self.shape = p, degree, interaction_only
+
+    @property
+    def index(self) -> np.ndarray:
+        return _index_of_terms(*self.shape)
+
+    def of(self, x: np.ndarray):
+        one = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+        for i in range(0, len(self.index), TERMS):
+            factors = self.index[i:i + TERMS]
+            out = one[:, factors[:, 0]]
+            for c in range(1, factors.shape[1]):
+                out = out * one[:, factors[:, c]]
+            yield i, out
+
+    def times(self, x: np.ndarray, matrix: Callable[[int, int], np.ndarray]) -> np.ndarray:
+        total = None
+        for i, block in self.of(x):
+            part = block @ matrix(i, i + block.shape[1])
+            total = part if total is None else total + part
+        return total
+
+
+class PolynomialSketch(Projection):
+    """A projection of polynomial terms that are expanded a block of columns at a time."""
+
+    def column(self, vec: str | Column) -> Column:
+        mean, matrix, terms = self.mean, self.matrix, self.pre
+        shift = mean @ matrix
+        return matrix_column(lambda x: np.concatenate([
+            terms.times(x[i:i + 256], lambda a, b: matrix[a:b]) - shift for i in range(0, len(x), 256)]), vec)
+
+
+def sketched_polynomial_pca(df: DataFrame, vec: str, k: int, degree: int = 2, interaction_only: bool = False, extra: int = 10,
+                            passes: int = 2, seed: int = 42) -> PolynomialSketch:
+    """PCA of polynomial features by a random range finder, without their Gram matrix.
+
+    Each of ``passes`` passes over the rows multiplies the centered expansion, transposed, with the
+    expansion times k + ``extra`` directions: numbers of terms times directions, in pieces.  A last pass
+    solves for the components inside.  Rows are expanded a block of columns at a time.
+    """
+    p = width(df, vec)
+    terms = _TermBlocks(p, degree, interaction_only)
+    size, wide = len(terms.index), k + extra
+
+    def drawn(a: int, b: int) -> np.ndarray:  # the same numbers in every task, without sending them
+        return np.concatenate([np.random.default_rng([seed, i]).standard_normal((min(i + TERMS, size) - i, wide))
+                               for i in range(a - a % TERMS, b, TERMS)])[a % TERMS:][:b - a]
+
+    basis = None
+    n, mean = 0.0, np.zeros(size)
+    for _ in range(passes):
+        factor = drawn if basis is None else lambda a, b, q=basis: q[a:b]
+
+        def part(x, factor=factor):
+            z, total = np.zeros((size, wide)), np.zeros(size)
+            flat = np.zeros(wide)
+            for r in range(0, len(x), 256):
+                y = terms.times(x[r:r + 256], factor)
+                flat += y.sum(0)
+                for i, block in terms.of(x[r:r + 256]):
+                    z[i:i + block.shape[1]] += block.T @ y
+                    total[i:i + block.shape[1]] += block.sum(0)
+            return z, total, flat, np.array([float(len(x))])
+
+        z, total, flat, rows = sum_rows(df, [vec], part, numbers=size * (wide + 1))
+        n, mean = float(rows[0]), total / rows[0]
+        basis = np.linalg.qr(z - np.outer(mean, flat))[0]
+    shift = mean @ basis
+
+    def last(x, q=basis):
+        square, spread = np.zeros((q.shape[1], q.shape[1])), 0.0
+        for r in range(0, len(x), 256):
+            y = terms.times(x[r:r + 256], lambda a, b: q[a:b]) - shift
+            square += y.T @ y
+            for i, block in terms.of(x[r:r + 256]):
+                spread += float(((block - mean[i:i + block.shape[1]]) ** 2).sum())
+        return square, np.array([spread])
+
+    square, spread = sum_rows(df, [vec], last, numbers=wide * wide + 1)
+    w, u = _eigen(square / max(n - 1, 1))
+    whole = float(spread[0]) / max(n - 1, 1)
+    matrix = _signed((basis @ u)[:, :k])
+    return PolynomialSketch(mean, matrix, w[:k], w[:k] / whole if whole > 0 else np.zeros(k), terms)
+
+
 # ---- whitening ------------------------------------------------------------------------
 
 def zca_matrix(cov: np.ndarray, eps: float = 1e-6) -> np.ndarray:

@@ -86,7 +86,7 @@ STEPS: dict[str, Callable] = {
     "ica": lambda df, key, vec, label, p, k: R.ica(df, vec, _k(df, vec, p, k)).transform(df, vec, vec),
     "random_projection": lambda df, key, vec, label, p, k: R.random_projection(
         df, vec, _k(df, vec, p, k)).transform(df, vec, vec),
-    "polynomial_pca": lambda df, key, vec, label, p, k: R.polynomial_pca(
+    "polynomial_pca": lambda df, key, vec, label, p, k: (R.sketched_polynomial_pca if p.get("sketch") else R.polynomial_pca)(
         df, vec, _k(df, vec, p, k), p.get("degree", 2)).transform(df, vec, vec),
     "feature_agglomeration": lambda df, key, vec, label, p, k: feature_agglomeration(
         df, vec, int(min(p.get("n_clusters", k), width(df, vec))), p.get("linkage", "ward")).transform(df, vec, vec),
