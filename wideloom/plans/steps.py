@@ -19,6 +19,7 @@ from wideloom.operators import reduce as R
 from wideloom.operators.hierarchy import feature_agglomeration
 from wideloom.operators.prep import robust_vector_stats
 from wideloom.operators.rowsums import sum_rows
+from wideloom.operators.trees import extra_trees
 
 
 class VectorScale:
@@ -65,7 +66,9 @@ def _polynomial(df, key, vec, label, p, k):
 
 
 def _select_model(df, key, vec, label, p, k):
-    imp = FT.forest_importance(df, vec, _need_label(label), p.get("trees", 100))
+    """``importance`` may be any function of (frame, vector column, label column); extremely randomised trees if not given."""
+    own = p.get("importance")
+    imp = own(df, vec, _need_label(label)) if own else extra_trees(df, vec, _need_label(label), p.get("trees", 100)).importance
     return _select(df, vec, FT.select_from_model(imp, p.get("threshold", "mean"), p.get("max_features")))
 
 
