@@ -297,12 +297,12 @@ e{t + 1} AS MATERIALIZED (SELECT i, k, s, r, 0.5 * a + 0.5 * CASE WHEN i = k THE
 
 @query("affinity_rounds", _affinity_sql(6, 20))
 def _(spark, table):
-    return AP.affinity_propagation(embeddings(table), "vec_id", "v", max_iter=6, neighbors=20)
+    return AP.affinity_propagation(embeddings(table), "vec_id", "v", 0.5, max_iter=6, neighbors=20).drop("converged")
 
 
 @query("affinity_propagation")
 def _(spark, table):
-    return AP.affinity_propagation(embeddings(table), "vec_id", "v", neighbors=20)
+    return AP.affinity_propagation(_z(table, 3), "vec_id", "z", 0.9, 400, neighbors=10)
 
 
 TUPLES = "(SELECT vec_id, label, CAST(vec_id % 3 AS INTEGER) AS a, CAST(vec_id % 2 AS INTEGER) AS b, CASE WHEN vec_id % 5 = 0 THEN -1 ELSE CAST(label % 4 AS INTEGER) END AS c FROM embeddings)"
