@@ -230,14 +230,17 @@ def _weighted_start(m: KMeansModel, w: np.ndarray, k: int, rng) -> np.ndarray:
     return start
 
 
+NARROW = 32  # histogram cells of a narrowing pass: few values are left, so its summary stays small
+
+
 def _uses_median(r: _Run) -> bool:
     return r.spec.enhanced and r.spec.outlier_handling
 
 
 def _bins(runs: Sequence[_Run]) -> int:
-    """Histogram width that keeps one pass's summary near two million numbers."""
-    cells = sum(2 * r.centers.size for r in runs if _uses_median(r))
-    return int(np.clip(2_000_000 // max(cells, 1), 32, 1024))
+    """Histogram width that keeps the assignment pass's summary within about 200,000 numbers."""
+    cells = sum(r.centers.size for r in runs if _uses_median(r))
+    return int(np.clip(200_000 // max(cells, 1), NARROW, 1024))
 
 
 def _histogram(v, a, k, lo, w, bins):
@@ -279,7 +282,7 @@ def _assign_stats(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray]
         r.stats = dict(zip(("n", "sum", "cost", "dist", "hist"), flat[5 * i:5 * i + 5]))
 
 
-MEDIAN_PASSES = 6  # at 1024 bins the last bracket is 2^-60 of the feature's range
+MEDIAN_PASSES = 12  # at 32 bins the last bracket is 2^-60 of the feature's range
 
 
 def _narrow(lo, w, below, hist, rank):
@@ -304,7 +307,7 @@ def _inside_range(v, a, k, lo, w):
     return low, high
 
 
-def _medians(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray], bins: int) -> dict[int, np.ndarray]:
+def _medians(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray]) -> dict[int, np.ndarray]:
     """Median of every (run, cluster, feature): the histogram of the assignment pass is
     narrowed around the two middle ranks until each bracket holds one value, which is then
     the exact answer.  A pass has a fixed-size summary, however many rows a cluster holds."""
@@ -325,7 +328,7 @@ def _medians(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray], bin
             for m, lo_r, w_r in zip(models, lo, w):
                 a, v = m.distances(x).argmin(axis=1), x[:, :m.dims]
                 for t in range(2):
-                    out += [*_histogram(v, a, len(m.centers), lo_r[t], w_r[t], bins),
+                    out += [*_histogram(v, a, len(m.centers), lo_r[t], w_r[t], NARROW),
                             *_inside_range(v, a, len(m.centers), lo_r[t], w_r[t])]
             return out
 
@@ -412,7 +415,7 @@ def fit_many(df: DataFrame, key: str, vec: str, specs: dict[str, Spec], max_iter
             _assign_stats(data, "v", active, span, bins)
             holes = [r for r in active if (r.stats["n"] == 0).any()]
             wide = [r for r in active if _uses_median(r)]
-            medians = _medians(data, "v", wide, span, bins) if wide else {}
+            medians = _medians(data, "v", wide, span) if wide else {}
             old = {id(r): r.centers.copy() for r in active}
             for r in active:
                 n = r.stats["n"]
