@@ -285,63 +285,82 @@ def _assign_stats(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray]
 MEDIAN_PASSES = 12  # at 32 bins the last bracket is 2^-60 of the feature's range
 
 
+KEEP = 16  # smallest values of a bracket that a pass returns
+
+
 def _narrow(lo, w, below, hist, rank):
     """The histogram cell that holds the wanted rank, a hair wider than computed so that a
-    value on its edge cannot fall out."""
+    value on its edge cannot fall out, and about how many of its values are smaller."""
     bins = hist.shape[-1]
     seen = below[..., None] + hist.cumsum(axis=-1)
     at = np.clip((seen <= rank[:, None, None]).sum(axis=-1), 0, bins - 1)
-    return lo + (at - 1e-9) * w / bins, w / bins * (1 + 2e-9)
+    cell = np.take_along_axis(hist, at[..., None], axis=-1)[..., 0]
+    before = np.take_along_axis(seen, at[..., None], axis=-1)[..., 0] - cell
+    return lo + (at - 1e-9) * w / bins, w / bins * (1 + 2e-9), rank[:, None] - before
 
 
-def _merge_medians(a, b):
-    """Per bracket: below and histogram add up, then the smallest and largest value inside."""
-    return [(x + y, x + y, np.minimum(x, y), np.maximum(x, y))[i % 4] for i, (x, y) in enumerate(zip(a, b))]
+def _smallest(v, a, k, lo, w):
+    """Per (cluster, feature): rows below the bracket, its ``KEEP`` smallest values and its largest."""
+    below, low, high = np.zeros((k, v.shape[1])), np.full((k, v.shape[1], KEEP), np.inf), np.full((k, v.shape[1]), -np.inf)
+    for c in np.unique(a):
+        x = v[a == c]
+        under, inside = x < lo[c], (x >= lo[c]) & (x <= lo[c] + w[c])
+        below[c] = under.sum(axis=0)
+        high[c] = np.where(inside, x, -np.inf).max(axis=0)
+        first = np.sort(np.where(inside, x, np.inf), axis=0)[:KEEP]
+        low[c, :, :len(first)] = first.T
+    return below, low, high
 
 
-def _inside_range(v, a, k, lo, w):
-    inside = (v >= lo[a]) & (v <= (lo + w)[a])
-    low, high = np.full((k, v.shape[1]), np.inf), np.full((k, v.shape[1]), -np.inf)
-    np.minimum.at(low, a, np.where(inside, v, np.inf))
-    np.maximum.at(high, a, np.where(inside, v, -np.inf))
-    return low, high
+def _merge_smallest(a, b):
+    smallest = lambda x, y: np.sort(np.concatenate([x, y], axis=-1), axis=-1)[..., :KEEP]
+    return [(np.add, smallest, np.maximum)[i % 3](x, y) for i, (x, y) in enumerate(zip(a, b))]
 
 
 def _medians(df, vec, runs: list[_Run], span: tuple[np.ndarray, np.ndarray]) -> dict[int, np.ndarray]:
-    """Median of every (run, cluster, feature): the histogram of the assignment pass is
-    narrowed around the two middle ranks until each bracket holds one value, which is then
-    the exact answer.  A pass has a fixed-size summary, however many rows a cluster holds."""
+    """Median of every (run, cluster, feature): the histogram of the assignment pass is narrowed around
+    the two middle ranks until few values are left below them in their brackets; a pass then returns
+    these values, one of which is the exact answer.  A pass has a fixed-size summary, however many rows
+    a cluster holds."""
     models = _views(runs)
-    lo, w, ranks = [], [], []
+    lo, w, depth, ranks = [], [], [], []
     for r in runs:
         k, p = r.centers.shape
         lo0 = np.repeat(span[0][None, :p], k, axis=0)
         w0 = np.repeat((span[1] - span[0])[None, :p], k, axis=0)
         ranks.append([np.floor((r.stats["n"] - 1) / 2), np.ceil((r.stats["n"] - 1) / 2)])
         both = [_narrow(lo0, w0, np.zeros((k, p)), r.stats["hist"], rank) for rank in ranks[-1]]
-        lo.append([b[0] for b in both])
-        w.append([b[1] for b in both])
+        for out, i in ((lo, 0), (w, 1), (depth, 2)):
+            out.append([b[i] for b in both])
     value = {id(r): np.zeros((2, *r.centers.shape)) for r in runs}
-    for _ in range(MEDIAN_PASSES - 1):
-        def part(x, lo=lo, w=w):
+    collect = False
+    for _ in range(MEDIAN_PASSES):
+        collect = not collect and all((d[r.stats["n"] > 0] < KEEP - 2).all() for r, both in zip(runs, depth) for d in both)
+        summary = _smallest if collect else (lambda v, a, k, lo_t, w_t: _histogram(v, a, k, lo_t, w_t, NARROW))
+
+        def part(x, lo=lo, w=w, summary=summary):
             out = []
             for m, lo_r, w_r in zip(models, lo, w):
                 a, v = m.distances(x).argmin(axis=1), x[:, :m.dims]
                 for t in range(2):
-                    out += [*_histogram(v, a, len(m.centers), lo_r[t], w_r[t], NARROW),
-                            *_inside_range(v, a, len(m.centers), lo_r[t], w_r[t])]
+                    out += summary(v, a, len(m.centers), lo_r[t], w_r[t])
             return out
 
-        flat = sum_rows(df, [vec], part, _merge_medians)
-        exact = True
+        flat = sum_rows(df, [vec], part, _merge_smallest) if collect else sum_rows(df, [vec], part)
+        exact, size = collect, 3 if collect else 2
         for i, r in enumerate(runs):
             for t in range(2):
-                below, hist, low, high = flat[8 * i + 4 * t:8 * i + 4 * t + 4]
-                single = low == high
-                empty = (r.stats["n"] == 0)[:, None]
-                value[id(r)][t] = np.where(single, low, lo[i][t] + w[i][t] / 2)
-                exact = exact and bool((single | empty).all())
-                lo[i][t], w[i][t] = _narrow(lo[i][t], w[i][t], below, hist, ranks[i][t])
+                found = flat[2 * size * i + size * t:2 * size * i + size * (t + 1)]
+                if not collect:
+                    lo[i][t], w[i][t], depth[i][t] = _narrow(lo[i][t], w[i][t], *found, ranks[i][t])
+                    continue
+                below, low, high = found
+                at = ranks[i][t][:, None] - below
+                picked = np.take_along_axis(low, np.clip(at, 0, KEEP - 1).astype(int)[..., None], axis=-1)[..., 0]
+                single = low[..., 0] == high
+                known = single | ((at >= 0) & (at < KEEP) & np.isfinite(picked))
+                value[id(r)][t] = np.where(single, high, np.where(known, picked, lo[i][t] + w[i][t] / 2))
+                exact = exact and bool((known | (r.stats["n"] == 0)[:, None]).all())
         if exact:
             break
     return {key: v.mean(axis=0) for key, v in value.items()}
