@@ -82,21 +82,15 @@ def _(spark, table):
     return scores.where(F.col("i").isin(FT.best_percentile(scores, "chi2", 30))).select("i")
 
 
-PAIR20 = f"""(SELECT a.i AS a, b.i AS b, a.label, a.x * b.x AS x FROM {EMB_LONG} a JOIN {EMB_LONG} b
-  ON a.vec_id = b.vec_id AND a.i < b.i AND b.i < 20)"""
-
-
-@query("pair_f_test", ANOVA.format(key="a, b", src=PAIR20).replace("JOIN t USING (a, b)", "JOIN t USING (a, b)") +
-       "SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, round(f, 6) + 0.0 AS f FROM f ORDER BY f DESC, a, b LIMIT 10")
-def _(spark, table):
-    return rounded(FT.pair_products(embeddings(table), "v", "label", range(20)), "f")
+PAIR_ALL = f"(SELECT a.i AS a, b.i AS b, a.label, a.x * b.x AS x FROM {EMB_LONG} a JOIN {EMB_LONG} b ON a.vec_id = b.vec_id AND a.i < b.i)"
 
 
-PAIR_ALL = f"(SELECT a.i AS a, b.i AS b, a.label, a.x * b.x AS x FROM {EMB_LONG} a JOIN {EMB_LONG} b ON a.vec_id = b.vec_id AND a.i < b.i)"
+PAIR_F = ANOVA.format(key="a, b", src=PAIR_ALL) + (
+    "SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, round(f, 6) + 0.0 AS f FROM f ORDER BY f DESC, a, b LIMIT 10")
 
 
-@query("pair_f_test_all", ANOVA.format(key="a, b", src=PAIR_ALL) +
-       "SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, round(f, 6) + 0.0 AS f FROM f ORDER BY f DESC, a, b LIMIT 10")
+@query("pair_f_test", PAIR_F)
+@query("pair_f_test_all", PAIR_F)
 def _(spark, table):
     return rounded(FT.pair_products(embeddings(table), "v", "label", range(64)), "f")
 

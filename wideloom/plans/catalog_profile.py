@@ -252,18 +252,13 @@ def _(spark, table):
     return rounded(profile.correlations(table("lineitem"), LI, "cov"), "value", digits=4)
 
 
-@query("top_corr_pairs", f"""
+TOP_PAIRS = f"""
 SELECT 'f' || a.i AS a, 'f' || b.i AS b, round(corr(a.x, b.x), 6) + 0.0 AS value FROM {EMB_LONG} a JOIN {EMB_LONG} b
-  ON a.vec_id = b.vec_id AND a.i < b.i AND b.i < 20 GROUP BY a.i, b.i ORDER BY abs(corr(a.x, b.x)) DESC, a, b LIMIT 10""")
-def _(spark, table):
-    names = [f"f{i}" for i in range(20)]
-    df = embeddings(table).select(*[F.col("v")[i].alias(n) for i, n in enumerate(names)])
-    return rounded(profile.top_correlated_pairs(df, names), "value")
+  ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i ORDER BY abs(corr(a.x, b.x)) DESC, a, b LIMIT 10"""
 
 
-@query("top_corr_pairs_all", f"""
-SELECT 'f' || a.i AS a, 'f' || b.i AS b, round(corr(a.x, b.x), 6) + 0.0 AS value FROM {EMB_LONG} a JOIN {EMB_LONG} b
-  ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i ORDER BY abs(corr(a.x, b.x)) DESC, a, b LIMIT 10""")
+@query("top_corr_pairs", TOP_PAIRS)
+@query("top_corr_pairs_all", TOP_PAIRS)
 def _(spark, table):
     names = [f"f{i}" for i in range(64)]
     df = embeddings(table).select(*[F.col("v")[i].alias(n) for i, n in enumerate(names)])
