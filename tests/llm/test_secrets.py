@@ -80,6 +80,35 @@ def test_pem_in_json_and_source():
     assert kinds(marks[0] + "\\" * 200_000 + marks[1]) == [] and kinds(marks[0] + "' " * 100_000) == []
 
 
+def test_keys_in_other_dress():
+    body = base64.b64encode(PKCS8).decode()
+    lines = re.findall(".{1,64}", body)
+    marks = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    pem = "\n".join([marks[0], *lines, marks[1]])
+    inner = base64.b64encode((pem + "\n").encode()).decode()
+    assert kinds(f"client-key-data: {inner}\n") == [("pem_key", inner)]
+    assert kinds("data: " + base64.b64encode(b"-----BEGIN NOTHING-----" * 4).decode()) == []
+    for before in ("> ", "# ", "  | "):
+        quoted = "\n".join(before + x for x in [marks[0], *lines, marks[1]])
+        found = kinds("so:\n" + quoted + "\nend")
+        assert [k for k, _ in found] == ["pem_key"] and found[0][1].startswith(marks[0]) and found[0][1].endswith(marks[1])
+    heads = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    rsa = "-----BEGIN RSA PRIVATE KEY-----\n", "\n-----END RSA PRIVATE KEY-----"
+    for n, ok in ((64, True), (61, False)):
+        text = rsa[0] + heads + base64.b64encode(bytes(range(n))).decode() + rsa[1]
+        for shown in (text, text.replace("\n", "\\n")):
+            assert [k for k, _ in kinds(shown) if k == "pem_key"] == ["pem_key"] * ok
+    plain_heads = marks[0] + "\nComment: mine\n" + body + "\n" + marks[1]
+    assert ("pem_key", plain_heads) in kinds(plain_heads)
+    wrapped = "\n".join(lines)
+    for shown, span in ((wrapped, wrapped), ("  " + "\n  ".join(lines), "\n  ".join(lines)), ("path/" + body, body),
+                        (f"key={wrapped}\nNext words", wrapped), ("> " + "\n> ".join(lines) + "\n> Bye", "\n> ".join(lines))):
+        assert ("der_key", span) in kinds(shown + " "), shown[:40]
+        assert body[8:40] not in secrets._redacted(shown, "#")
+    assert kinds("\n".join(lines[:-1])) == [] and kinds("MIIEvQIB" * 200) == [] and kinds("M" * 50_000) == []
+    assert kinds("/MAAAAAAA" * 5000) == []
+
+
 def test_signed_tokens():
     assert kinds(f"bearer {TOKEN}, and") == [("signed_token", TOKEN)]
     head, body, sign = TOKEN.split(".")

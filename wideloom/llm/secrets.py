@@ -3,7 +3,10 @@
 Base kinds are plain patterns (``assign``, ``access``, ``hex``).  Longer base64 and hex runs and
 dotted tokens are only candidates: they are decoded and reported when the bytes parse, lengths
 nested exactly, as a private key (PKCS#8, PKCS#1, SEC 1 or OpenSSH) or, for dotted tokens, as a
-signed token whose header names its algorithm and whose signature has that algorithm's length.
+signed token whose header names its algorithm and whose signature has that algorithm's length.  A key in
+DER states its own length, so it is also found wrapped over lines, quoted, or behind other text in a
+run; decoded text is searched for keys between marks; an encrypted key with header lines has to fill
+whole cipher blocks.
 
 Null and empty texts have no spans.  Offsets are code points of the text, ends exclusive.  All of
 it is one column expression: every text is read whole and nothing is shuffled.
@@ -33,13 +36,19 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = BASE_KINDS + ("pem_key", "der_key", "ssh_key", "signed_token")
 
-# Between the marks: base64, white space and, as in JSON and source text, escaped line ends and slashes
-# and the quotes that join the lines of a string or list.  Possessive, so every body is read once.
+# Between the marks: header lines, then base64, white space and, as in JSON and source text, escaped line
+# ends and slashes, the quotes that join the lines of a string or list, and marks of quoted or commented
+# lines.  Possessive, so every body is read once.
 _ESCAPE = r"\\++(?:[nr]|(?=/))"
-_JOIN = r"""\\*+["'][\s\\]*+(?:[+.,][\s\\]*+)?["']"""
-_PEM = re.compile(rf"-----BEGIN ((?:[A-Z0-9]{{1,12}} ){{0,3}}PRIVATE KEY)-----"
+_JOIN = r"""\\*+["'][\s\\]*+(?:[+.,][\s\\]*+)?["']|[>#|;*]++"""
+_HEADER = r"""[A-Z][A-Za-z0-9-]{1,40}:[^\n\r\\"']{1,200}+"""
+_PEM = re.compile(rf"-----BEGIN ((?:[A-Z0-9]{{1,12}} ){{0,3}}PRIVATE KEY)-----((?:(?:\s|{_ESCAPE}|{_JOIN})*+{_HEADER})*+)"
                   rf"((?:[A-Za-z0-9+/=\s]++|{_ESCAPE}|{_JOIN})*+)-----END \1-----")
 _NOT_BODY = re.compile(rf"{_ESCAPE}|{_JOIN}")
+_DER_START = re.compile(r"(?<![A-Za-z0-9])M[A-P][A-Za-z0-9+/_-]{6}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_LINE_END = re.compile(r"(?:\s|\\++[nr]|[>#|;*])*+")
+_DER_LEAST, _DER_MOST = 24, 1 << 16  # bytes of a private key
 _B64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{60,}(?![0-9A-Fa-f])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
@@ -139,6 +148,47 @@ def is_signed_token(header: str, payload: str, signature: str) -> bool:
     return not sign or len(sign) == _SIGNATURE_BYTES.get(head["alg"], len(sign))
 
 
+def _is_pem_key(headers: str, body: str) -> bool:
+    data = _unbase64(_NOT_BODY.sub("", body)) or b""
+    if "ENCRYPTED" in headers and "DEK-Info" in headers:
+        return len(data) >= 32 and len(data) % 8 == 0
+    return is_der_key(data) or is_ssh_key(data)
+
+
+def _der_end(text: str, start: int) -> int | None:
+    """The end of the base64 text of a DER key that starts here, over line ends, as long as it says."""
+    head = _unbase64(text[start:start + 8])
+    if head is None:
+        return None
+    size, width = head[1], 0
+    if size & 0x80:
+        width = size & 0x7F
+        if not 1 <= width <= 4:
+            return None
+        size = int.from_bytes(head[2:2 + width], "big")
+    size += 2 + width
+    if not _DER_LEAST <= size <= _DER_MOST:
+        return None
+    need, got, at = -(-size * 4 // 3), [], start
+    while need > 0:
+        m = _RUN.match(text, at)
+        if not m:
+            return None
+        got.append(m[0][:need])
+        need -= len(got[-1])
+        at += len(got[-1])
+        if need > 0:
+            gap = _LINE_END.match(text, at).end()
+            if not 0 < gap - at <= 64:
+                return None
+            at = gap
+    if not is_der_key((_unbase64("".join(got)) or b"")[:size]):
+        return None
+    while text[at:at + 1] == "=" and at < len(text):
+        at += 1
+    return at
+
+
 def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) sorted by start, then by the kinds' order, then by end."""
     if not text:
@@ -151,16 +201,22 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
         out += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST]
     out += [("hex", *m.span()) for m in HEX.finditer(text)]
     if "-----BEGIN" in text:
-        for m in _PEM.finditer(text):
-            data = _unbase64(_NOT_BODY.sub("", m[2])) or b""
-            if is_der_key(data) or is_ssh_key(data):
-                out.append(("pem_key", *m.span()))
+        out += [("pem_key", *m.span()) for m in _PEM.finditer(text) if _is_pem_key(m[2], m[3])]
+    marked = [s[1:] for s in out if s[0] == "pem_key"]
     for m in _B64.finditer(text):
         data = _unbase64(m[0])
         if data and data[:1] == b"\x30" and is_der_key(data):
             out.append(("der_key", *m.span()))
         elif data and is_ssh_key(data):
             out.append(("ssh_key", *m.span()))
+        elif data and b"-----BEGIN" in data and any(_is_pem_key(k[2], k[3]) for k in _PEM.finditer(data.decode("latin-1"))):
+            out.append(("pem_key", *m.span()))
+    known = {s[1] for s in out if s[0] == "der_key"}
+    for m in _DER_START.finditer(text):
+        if m.start() not in known and not any(a <= m.start() < b for a, b in marked):
+            end = _der_end(text, m.start())
+            if end is not None:
+                out.append(("der_key", m.start(), end))
     for m in _HEX_BYTES.finditer(text):
         if m[0][:2] == "30" and len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             out.append(("der_key", *m.span()))
