@@ -81,3 +81,44 @@ def test_without_labels_or_rows(spark):
     none = toxicity.fit(docs, label_frame(spark, []))
     assert {r.p for r in docs.select(none.score().alias("p")).collect()} == {0.5}
     assert documents(spark, []).select(none.score().alias("p")).collect() == []
+
+
+def plain_ftrl(rows, s):
+    """FTRL-proximal by the book, one coordinate after another in dictionaries."""
+    z, n = {}, {}
+
+    def weight(i):
+        if i == "bias":
+            return -z.get(i, 0.0) / ((s.beta + n.get(i, 0.0) ** 0.5) / s.alpha)
+        if abs(z.get(i, 0.0)) <= s.l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * s.l1) / ((s.beta + n[i] ** 0.5) / s.alpha + s.l2)
+
+    for idx, y in rows:
+        w = {i: weight(i) for i in [*idx.tolist(), "bias"]}
+        g = 1 / (1 + np.exp(-sum(w.values()))) - y
+        for i, v in w.items():
+            rate = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / s.alpha
+            z[i] = z.get(i, 0.0) + g - rate * v
+            n[i] = n.get(i, 0.0) + g * g
+    return z, n, weight
+
+
+def test_a_pass_against_plain_ftrl(spark):
+    rows, labels = corpus(6, 120)
+    s = toxicity.Settings(bits=14, shards=1, rounds=1)
+    data = [(toxicity.features(t, s.bits), y) for (_, t), (_, _, y) in zip(rows, labels)]
+    z, n = np.zeros((1 << s.bits) + 1), np.zeros((1 << s.bits) + 1)
+    toxicity._epoch(data, z, n, s)
+    want_z, want_n, weight = plain_ftrl(data, s)
+    for i, v in want_z.items():
+        at = len(z) - 1 if i == "bias" else i
+        assert abs(z[at] - v) < 1e-9 and abs(n[at] - want_n[i]) < 1e-9
+    # A fit of one shard and one round is that pass over its rows, in the order of their hashes.
+    docs = documents(spark, rows)
+    order = [r.doc_id for r in docs.selectExpr("doc_id", "xxhash64(doc_id, 17) as o").orderBy("o").collect()]
+    _, _, weight = plain_ftrl([data[i] for i in order], s)
+    model = toxicity.fit(docs, label_frame(spark, labels), settings=s)
+    assert abs(model.bias - weight("bias")) < 1e-4 and len(model.index)
+    np.testing.assert_allclose(model.weight, [weight(int(i)) for i in model.index], atol=1e-4)
