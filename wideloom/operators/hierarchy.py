@@ -15,16 +15,16 @@ from wideloom.operators.kmeans import KMeansModel, Spec, fit_many
 from wideloom.operators.neighbors import pair_distances
 from wideloom.operators.reduce import Gram, gram
 from wideloom.operators.rowsums import sum_rows
-from wideloom.operators.spanning import single_linkage
+from wideloom.operators.spanning import single_linkage, ward_linkage
 
 LINKAGES = ("single", "complete", "average", "ward")
 
 
-def merge_tree(dist: np.ndarray, sizes: np.ndarray, k: int, linkage: str) -> np.ndarray:
+def merge_tree(dist: np.ndarray, sizes: np.ndarray, k: int, linkage: str, merges: list | None = None) -> np.ndarray:
     """Cut to k groups on a small distance matrix (Lance-Williams updates).
 
     Starts are weighted by ``sizes``; ``ward`` expects Ward distances between the starts.
-    Groups are numbered by their first member.
+    Groups are numbered by their first member.  ``merges`` receives (first member, first member, height).
     """
     if linkage not in LINKAGES:
         raise ValueError(f"unknown linkage {linkage!r}")
@@ -37,6 +37,8 @@ def merge_tree(dist: np.ndarray, sizes: np.ndarray, k: int, linkage: str) -> np.
         i = int(np.where(alive, near_d, np.inf).argmin())
         j = int(near[i])
         i, j = min(i, j), max(i, j)
+        if merges is not None:
+            merges.append((i, j, float(d[i, j]) ** (0.5 if linkage == "ward" else 1.0)))
         a, b = d[i].copy(), d[j].copy()
         if linkage == "single":
             new = np.minimum(a, b)
@@ -93,15 +95,20 @@ def micro_clusters(df: DataFrame, key: str, vec: str, m: int, rounds: int = 300)
 
 def agglomerative(df: DataFrame, key: str, vec: str, k: int, linkage: str = "ward", max_micro: int = 512,
                   out: str = "cluster") -> DataFrame:
-    """Agglomerative clustering; ``single`` linkage is exact at any size, by the spanning tree, and the
-    others merge in two stages, rows following their micro-cluster.
+    """Agglomerative clustering; ``single`` (by the spanning tree) and ``ward`` (by rounds of reciprocal
+    nearest neighbours) are exact at any size, and the others merge in two stages, rows following
+    their micro-cluster.
 
-    ``max_micro`` is the resolution of the first stage.  Ward merging is exact for the
-    micro-cluster partition (it needs only sizes and centers); the other linkages measure
-    between centers.  With no more distinct rows than micro-clusters all are exact.
+    ``max_micro`` is the resolution of the first stage, whose centers the other linkages measure
+    between, and the number of clusters from which ``ward`` merges on the driver.  With no more distinct
+    rows than that all are exact.
     """
-    if linkage == "single":
-        labels = single_linkage(df, key, vec, k, out="_group").withColumnRenamed(key, "_row")
+    if linkage in ("single", "ward"):
+        if linkage == "single":
+            labels = single_linkage(df, key, vec, k, out="_group")
+        else:
+            labels = ward_linkage(df, key, vec, k, max_micro, out="_group")
+        labels = labels.withColumnRenamed(key, "_row")
         return df.join(labels, F.col(key) == F.col("_row")).withColumn(out, F.col("_group")).drop("_row", "_group")
     model, sizes = micro_clusters(df, key, vec, max_micro)
     return _label_by_micro(df, vec, model, micro_tree(model.centers, sizes, k, linkage), out)

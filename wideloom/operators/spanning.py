@@ -93,22 +93,14 @@ def spanning_tree(df: DataFrame, key: str, vec: str, block: int = BLOCK) -> Data
     return spanning_links(df.select(k.alias("i"), F.col(vec).alias("vec"), k.alias("root")), block)
 
 
-def single_linkage(df: DataFrame, key: str, vec: str, k: int | None = None, height: float | None = None, out: str = "cluster",
-                   block: int = BLOCK) -> DataFrame:
-    """(key, cluster): exact single-linkage clustering, numbered by the groups' smallest keys.
-
-    The groups are what is left of the spanning tree without its k - 1 longest links (ties: the ones
-    of larger keys go first), or without those longer than ``height``.  Rows of equal vectors are one
-    point; rows without a vector are left out.
-    """
-    if (k is None) == (height is None):
-        raise ValueError("give either a number of groups or a height")
-    from wideloom.operators.dbscan import attach_ids, merge_copies
+def _cut_tree(df: DataFrame, key: str, vec: str, points: DataFrame, tree: DataFrame, k: int | None, height: float | None, out: str
+              ) -> DataFrame:
+    """(key, cluster): what the links of a tree (u, v, distance) over ``points`` join, but for the k - 1 longest
+    (ties: the ones of larger keys go first) or those longer than ``height``."""
+    from wideloom.operators.dbscan import attach_ids
     from wideloom.operators.ranks import cumulative
 
-    points = cut_lineage(merge_copies(df.where(F.col(vec).isNotNull()), key, vec))
     rows, distinct = points.agg(F.sum("weight"), F.count("*")).first()
-    tree = cut_lineage(spanning_tree(points, "id", "vec", block))
     if height is not None:
         left = tree.where(F.col("distance") <= float(height))
     else:
@@ -120,3 +112,86 @@ def single_linkage(df: DataFrame, key: str, vec: str, k: int | None = None, heig
         "root", F.col("before_one").cast("int").alias(out))
     ids = attach_ids(df, key, vec, points, rows, distinct)
     return ids.join(home, "id").join(numbers, "root").select(F.col("key").alias(key), out)
+
+
+def single_linkage(df: DataFrame, key: str, vec: str, k: int | None = None, height: float | None = None, out: str = "cluster",
+                   block: int = BLOCK) -> DataFrame:
+    """(key, cluster): exact single-linkage clustering, numbered by the groups' smallest keys.
+
+    The groups are what is left of the spanning tree without its k - 1 longest links (ties: the ones
+    of larger keys go first), or without those longer than ``height``.  Rows of equal vectors are one
+    point; rows without a vector are left out.
+    """
+    if (k is None) == (height is None):
+        raise ValueError("give either a number of groups or a height")
+    from wideloom.operators.dbscan import merge_copies
+
+    points = cut_lineage(merge_copies(df.where(F.col(vec).isNotNull()), key, vec))
+    tree = cut_lineage(spanning_tree(points, "id", "vec", block))
+    return _cut_tree(df, key, vec, points, tree, k, height, out)
+
+
+# ---- Ward's linkage ------------------------------------------------------------------------------------
+
+def _ward(q: dict, d: dict) -> dict:
+    """Per visitor the resident at the least Ward distance, as a link (distance, smaller id, larger id)."""
+    m, n = q["n"][:, None], d["n"][None, :]
+    dist = pair_distances(q["vec"], d["vec"]) * np.sqrt(2 * m * n / (m + n))
+    dist[q["key"][:, None] == d["key"][None, :]] = np.inf
+    at = dist.argmin(axis=1)
+    ok = np.isfinite(dist[np.arange(len(at)), at])
+    at, key = at[ok], q["key"][ok]
+    m, n = q["n"][ok], d["n"][at]
+    # Taken from the difference, a distance is the same from both ends.
+    exact = np.sqrt(2 * m * n / (m + n) * ((q["vec"][ok] - d["vec"][at]) ** 2).sum(axis=1))
+    return {"key": key, "near": d["key"][at], "distance": exact}
+
+
+def _merge_nearest(clusters: DataFrame, count: int, block: int) -> DataFrame:
+    """(u, v, distance): the pairs of clusters that are each other's nearest by Ward distance."""
+    schema = "key bigint, near bigint, distance double"
+    pivots = landmarks(clusters, "id", "vec", max(1, min(MAX_PIVOTS, count // block)))
+    link = F.min(F.struct("distance", F.least("key", "near").alias("u"), F.greatest("key", "near").alias("v"))).alias("l")
+    first = cut_lineage(block_join(clusters, "id", "vec", pivots, F.lit(0.0), _ward, schema, ["n"], home_only=True, block=block))
+    found = first
+    if len(pivots) > 1:
+        # No cluster is smaller than one row, which bounds how far a nearer one can be.
+        bound = first.groupBy(F.col("key").alias("_key")).agg(F.min("distance").alias("bound"))
+        reach = clusters.join(bound, F.col("id") == F.col("_key"), "left").drop("_key").withColumn("reach", F.coalesce(
+            F.col("bound") / F.sqrt(2 * F.col("n") / (F.col("n") + 1)) * (1 + 1e-9), F.lit(1e300)))
+        found = first.unionByName(block_join(reach, "id", "vec", pivots, F.col("reach"), _ward, schema, ["n"], foreign_only=True, block=block))
+    best = found.groupBy("key").agg(link)
+    return best.groupBy("l").agg(F.count("*").alias("ends")).where("ends = 2").select("l.u", "l.v", "l.distance")
+
+
+def ward_linkage(df: DataFrame, key: str, vec: str, k: int, few: int = 512, out: str = "cluster", block: int = BLOCK) -> DataFrame:
+    """(key, cluster): exact Ward clustering into ``k`` groups, numbered by their smallest keys.
+
+    Pairs of clusters that are each other's nearest merge, all at once, round by round; Ward's linkage is
+    reducible, so the tree is that of one merge at a time.  The last ``few`` clusters, known by their
+    sizes and means, are merged on the driver.  Rows of equal vectors start as one cluster.
+    """
+    from wideloom.operators.dbscan import merge_copies
+    from wideloom.operators.hierarchy import merge_tree
+
+    points = cut_lineage(merge_copies(df.where(F.col(vec).isNotNull()), key, vec))
+    clusters = points.select("id", "vec", F.col("weight").cast("double").alias("n"))
+    count, tree = clusters.count(), None
+    while count > max(few, 1):
+        links = cut_lineage(_merge_nearest(clusters, count, block))
+        tree = links if tree is None else cut_lineage(tree.unionByName(links))
+        group = clusters.join(links.select(F.col("v").alias("id"), F.col("u").alias("into")), "id", "left").withColumn(
+            "into", F.coalesce("into", "id"))
+        pairs = group.groupBy("into").agg(F.collect_list(F.struct("vec", "n")).alias("c"))  # two at most
+        total = F.aggregate("c", F.lit(0.0), lambda s, e: s + e["n"])
+        one, two = F.col("c")[0], F.get("c", F.lit(1))
+        mean = F.when(two.isNull(), one["vec"]).otherwise(F.zip_with(
+            one["vec"], two["vec"], lambda x, y: (x * one["n"] + y * two["n"]) / (one["n"] + two["n"])))
+        clusters = cut_lineage(pairs.select(F.col("into").alias("id"), mean.alias("vec"), total.alias("n")))
+        count = clusters.count()
+    rows = clusters.orderBy("id").collect()  # ``few`` at most
+    x, n = np.array([r["vec"] for r in rows], float), np.array([r["n"] for r in rows])
+    last: list = []
+    merge_tree(pair_distances(x, x) * np.sqrt(2 * np.outer(n, n) / (n[:, None] + n[None, :])), n, 1, "ward", last)
+    rest = df.sparkSession.createDataFrame([(rows[i]["id"], rows[j]["id"], h) for i, j, h in last], "u bigint, v bigint, distance double")
+    return _cut_tree(df, key, vec, points, rest if tree is None else tree.unionByName(rest), k, None, out)
