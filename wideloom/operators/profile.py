@@ -7,6 +7,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -188,36 +189,37 @@ def correlations(df: DataFrame, cols: Sequence[str], how: str = "corr") -> DataF
     if how not in ("corr", "cov"):
         raise ValueError(f"unknown matrix {how!r}")
     cols = list(cols)
-    pilot = np.array([0.0 if v is None else v for v in df.limit(64).agg(*[F.avg(S.clean(F.col(c))) for c in cols]).first()])
+    p = len(cols)
+    # Values are taken relative to one of their own column, so a constant column sums to exactly 0.
+    clean = [S.clean(F.col(c)) for c in cols]
+    pilot = list(df.limit(64).agg(*[F.first(c, True) for c in clean]).first())
+    late = [i for i, v in enumerate(pilot) if v is None]
+    if late:
+        for i, v in zip(late, df.agg(*[F.first(clean[i], True) for i in late]).first()):
+            pilot[i] = 0.0 if v is None else v
+    pilot = np.array(pilot, float)
 
     def part(x):
         m = ~np.isnan(x)
         z, m = np.where(m, x - pilot, 0.0), m.astype(float)
-        low = np.fmin.reduce(x, axis=0, initial=np.inf)
-        high = np.fmax.reduce(x, axis=0, initial=-np.inf)
-        return m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z, low, high
+        return m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z
 
-    def merge(a, b):
-        return [*[x + y for x, y in zip(a[:4], b[:4])], np.minimum(a[4], b[4]), np.maximum(a[5], b[5])]
-
-    rows = []
     try:
-        n, s, q, xy, low, high = sum_rows(df.select(pack([S.clean(F.col(c)) for c in cols]).alias("v")), ["v"], part, merge,
-                                          numbers=4 * len(cols) ** 2, complete=False)
+        n, s, q, xy = sum_rows(df.select(pack(clean).alias("v")), ["v"], part, numbers=4 * p * p, complete=False)
     except ValueError:  # no rows
-        n = None
-    for i, a in enumerate(cols):
-        for j in range(i + 1 if how == "corr" else i, len(cols)):
-            value = None
-            if n is not None and n[i, j] >= 2:
-                c = xy[i, j] - s[i, j] * s[j, i] / n[i, j]
-                if how == "cov":
-                    value = float(c / (n[i, j] - 1))
-                elif low[i] < high[i] and low[j] < high[j]:
-                    spread = (q[i, j] - s[i, j] ** 2 / n[i, j]) * (q[j, i] - s[j, i] ** 2 / n[i, j])
-                    value = float(np.clip(c / np.sqrt(spread), -1, 1)) if spread > 0 else None
-            rows.append((a, cols[j], value))
-    return df.sparkSession.createDataFrame(rows, "a string, b string, value double")
+        n, s, q, xy = np.zeros((4, p, p))
+    i, j = np.triu_indices(p, 1 if how == "corr" else 0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        c = xy[i, j] - s[i, j] * s[j, i] / n[i, j]
+        if how == "cov":
+            value, known = c / (n[i, j] - 1), n[i, j] >= 2
+        else:
+            spread = (q[i, j] - s[i, j] ** 2 / n[i, j]) * (q[j, i] - s[j, i] ** 2 / n[i, j])
+            varies = np.diag(q) > 0
+            value, known = np.clip(c / np.sqrt(spread), -1, 1), (n[i, j] >= 2) & varies[i] & varies[j] & (spread > 0)
+    names = pa.array(cols)
+    return df.sparkSession.createDataFrame(pa.table({
+        "a": names.take(pa.array(i)), "b": names.take(pa.array(j)), "value": pa.array(value, mask=~known)}))
 
 
 def top_correlated_pairs(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
