@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wideloom.llm.common import SubstringHashes, prepared, run_hashes, signed, small, stored, streamed_groups, whole_text
 
@@ -287,7 +288,7 @@ def shared_passages(docs: DataFrame, text: str = "text", words: int = 51, gram:
     """
     prepared(docs.sparkSession)
     rows = docs.select(whole_text(text).alias("t")).select("t", F.xxhash64("t").alias("tid"))
-    names = rows.mapInArrow(_passages(words, gram), "name long, tid long").repartition("name")
+    names = stored(rows.mapInArrow(_passages(words, gram), "name long, tid long"), "repeat-grams")
     twice = names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     return names.join(twice, "name", "left_semi").select("tid").distinct()
 
@@ -303,10 +304,10 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = 400) -> D
     k = max(1, min(32, length // 5))
     long = docs.select(whole_text(text).alias("t")).where(F.octet_length("t") >= length)
 
-    names = long.select("t", F.xxhash64("t").alias("tid")).mapInArrow(
-        _sample(length, cover, v), "name long, tid long, sure boolean").repartition("name")  # one shuffle for counting and marking
-    twice = names.where("not sure").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name", F.lit(True).alias("twice"))
-    marked = names.where("tid is not null").join(twice, "name", "left").where("sure or twice").select("tid").distinct()
+    # A name has at most two rows to a batch of texts here, so the window's groups stay small; one shuffle.
+    names = long.select("t", F.xxhash64("t").alias("tid")).mapInArrow(_sample(length, cover, v), "name long, tid long, sure boolean")
+    names = names.withColumn("n", F.count_if(~F.col("sure")).over(Window.partitionBy("name")))
+    marked = names.where("tid is not null and (sure or n > 1)").select("tid").distinct()
     marked = stored(marked, "repeat-texts")
     digest = F.unhex(F.md5(F.encode("t", "UTF-8")))
     with_repeats = long.withColumn("tid", F.xxhash64("t")).join(small(marked, 1_000_000), "tid", "left_semi")
