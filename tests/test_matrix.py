@@ -43,6 +43,24 @@ def test_sums_through_the_reducer_tree(emb, x, monkeypatch):
     assert low[0] == x[:, 0].min() and (at[0] == x[x[:, 0].argmin()]).all()
 
 
+def test_one_merged_sum_reaches_the_driver(emb, x, monkeypatch):
+    """However many tasks there are: partial sums of more than a few bytes are merged by reducers."""
+    taken = []
+    for name in ("collect", "toLocalIterator"):
+        def counted(self, *args, real=getattr(type(emb), name), **kwargs):
+            got = list(real(self, *args, **kwargs))
+            taken.append(len(got))
+            return got
+
+        monkeypatch.setattr(type(emb), name, counted)
+    for direct in (64, 5):
+        monkeypatch.setattr(rowsums, "DIRECT", direct)
+        for merge, want in ((rowsums.add, x.sum(0)), (lambda a, b: [np.maximum(a[0], b[0])], x.max(0))):
+            taken.clear()
+            got, = rowsums.sum_rows(emb.repartition(23), ["v"], lambda m: [m.sum(0) if merge is rowsums.add else m.max(0)], merge)
+            assert np.allclose(got, want) and taken == [1]
+
+
 def test_pca(emb, x):
     m = R.pca(emb, "v", 5)
     c = x - x.mean(0)
