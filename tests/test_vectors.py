@@ -1,6 +1,7 @@
 """Vector columns with holes, and the shared scan."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,27 @@ def test_correlations_with_missing_and_constant_columns(spark):
             else:
                 assert abs(r.value - np.corrcoef(a[ok], b[ok])[0, 1]) < 1e-9
     assert all(r.value is None for r in profile.correlations(df.limit(0), df.columns[:2]).collect())
+
+
+def test_interactions_bound_the_arrow_batches(spark):
+    """A worker's batch of wide vectors is a few MB, not 10,000 rows of whatever width."""
+    from wideloom.plans import steps as ST
+
+    def batch_rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        df = spark.range(6000, numPartitions=1).select(
+            F.transform(F.sequence(F.lit(1), F.lit(96)), lambda i: (F.col("id") * i % 7).cast("double")).alias("v"))
+        wide = ST._interactions(df, "v")
+        sizes = [r["n"] for r in wide.select("v").mapInArrow(batch_rows, "n long").collect()]
+        assert sum(sizes) == 6000 and max(sizes) * 8 * (96 + 96 * 95 // 2) <= 16 << 20
+        spark.conf.set(name, "100")
+        ST._interactions(df, "v")
+        assert spark.conf.get(name) == "100"  # a smaller size of the session's own stays
+    finally:
+        spark.conf.set(name, before)
