@@ -70,3 +70,18 @@ def test_forest_labels_components():
             break
         want = new
     assert np.array_equal(DB._forest(200, a, b), want)
+
+
+def test_ward_compares_all_pairs_at_once_and_ends_on_the_driver(spark, monkeypatch):
+    from wideloom.operators import hierarchy as H
+
+    m = np.random.default_rng(5).normal(size=(600, 4))
+    n = np.ones(600)
+    want = H.merge_tree(N.pair_distances(m, m), n, 6, "ward").tolist()
+    passes = []
+    join = SP.block_join
+    monkeypatch.setattr(SP, "block_join", lambda *a, **k: passes.append(len(a[3])) or join(*a, **k))
+    got = H.agglomerative(frame(spark, m), "k", "v", 6, "ward", max_micro=16).orderBy("k").collect()
+    assert [r.cluster for r in got] == want and not passes
+    got = SP.ward_linkage(frame(spark, m), "k", "v", 6, few=400, block=50).orderBy("k").collect()
+    assert [r.cluster for r in got] == want and set(passes) == {1}
