@@ -85,3 +85,10 @@ def test_ward_compares_all_pairs_at_once_and_ends_on_the_driver(spark, monkeypat
     assert [r.cluster for r in got] == want and not passes
     got = SP.ward_linkage(frame(spark, m), "k", "v", 6, few=400, block=50).orderBy("k").collect()
     assert [r.cluster for r in got] == want and set(passes) == {1}
+
+
+def test_no_rows(spark):
+    empty = frame(spark, np.zeros((1, 2))).where("k < 0")
+    assert DB.dbscan(empty, "k", "v", 0.5, 2).count() == 0
+    assert N.nearest_neighbors(empty, "k", "v", 2).count() == 0
+    assert SP.single_linkage(empty, "k", "v", height=1.0).count() == 0
