@@ -164,3 +164,27 @@ def test_ward_against_the_dense_tree(spark):
     for k, block in ((6, 30),):
         got = SP.ward_linkage(frame(spark, x), "k", "v", k, few=25, block=block).orderBy("k").collect()
         assert [r.cluster for r in got] == H.merge_tree(d, np.ones(160), k, "ward").tolist()
+
+
+def test_only_shortened_paths_are_sent_on(spark, monkeypatch):
+    links = [(0, 1, 1.0), (1, 2, 1.0), (2, 3, 1.0), (0, 3, 9.0)]
+    edges = spark.createDataFrame(links + [(b, a, d) for a, b, d in links], "i bigint, j bigint, distance double").persist()
+    sent = []
+    join = MF.join_groups
+
+    def seen(df, groups, *args):
+        sent.append({r["j"]: r["x"] for r in groups.collect()})
+        return join(df, groups, *args)
+
+    monkeypatch.setattr(MF, "join_groups", seen)
+    got = MF.shortest_paths(edges, spark.createDataFrame([(i,) for i in range(4)], "i bigint"), [0, 3]).collect()
+    far = float("inf")
+    assert {r["i"]: r["paths"] for r in got} == {0: [0.0, 3.0], 1: [1.0, 2.0], 2: [2.0, 1.0], 3: [3.0, 0.0]}
+    assert sent[0] == {0: [0.0, far], 3: [far, 0.0]} and sent[1][0] == [far, 9.0] and sent[1][1] == [1.0, far]
+
+
+def test_meetings_report_only_what_may_be_kept():
+    batch = pa.RecordBatch.from_pydict({
+        "center": [0] * 4, "key": [0, 1, 2, 3], "vec": [[0.0], [1.0], [3.0], [7.0]], "reach": [1.0, 2.0, float("inf"), 0.5]})
+    found = {(a, b) for out in G._meeting_edges(3)(iter([batch])) for a, b in zip(out["key"].to_pylist(), out["neighbor"].to_pylist())}
+    assert found == {(0, 1), (1, 0), (1, 2), (2, 0), (2, 1), (2, 3)}
