@@ -78,3 +78,37 @@ def test_approaches_are_two_fits_and_as_before(small, monkeypatch):
         best = E.best_by(SW.score_models(z, "v", "label", alone), "f1", "run").first()
         assert got[name].best_method == best["run"] and got[name].n_features == 2
         assert all(got[name][c] == pytest.approx(best[c], abs=1e-9) for c in E.METRICS)
+
+
+def test_affinity_rounds_keep_no_tables(spark, monkeypatch):
+    """Twenty-two rounds, over a checkpoint of the messages, against the messages of a complete graph."""
+    from wideloom.operators import affinity as AP
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(14, 2)), rng.normal(size=(10, 2)) + 5])
+    df = spark.createDataFrame(pa.table({"k": pa.array(np.arange(24)), "v": pa.array(list(x))}))
+    monkeypatch.setattr(AP, "FEW", 100)  # several parts
+    tables = counted(monkeypatch, AP, "cut_lineage")
+    got = {r.k: r.exemplar for r in AP.affinity_propagation(df, "k", "v", 0.7, 22, 99, neighbors=23, preference=-9.0).collect()}
+    assert len(tables) <= 3  # not one per round
+    s = -((x[:, None] - x) ** 2).sum(2)
+    np.fill_diagonal(s, -9.0)
+    r, a = np.zeros((24, 24)), np.zeros((24, 24))
+    for _ in range(22):
+        v = a + s
+        other = np.stack([np.delete(v, j, axis=1).max(axis=1) for j in range(24)], axis=1)
+        r = 0.7 * r + 0.3 * (s - other)
+        pos = np.maximum(r, 0)
+        np.fill_diagonal(pos, 0)
+        new = np.minimum(0, np.diag(r)[None] + pos.sum(0)[None] - pos)
+        np.fill_diagonal(new, pos.sum(0))
+        a = 0.7 * a + 0.3 * new
+    assert got == dict(enumerate((a + r).argmax(axis=1).tolist()))
+
+
+def test_affinity_with_repeated_keys(spark):
+    from wideloom.operators import affinity as AP
+
+    df = spark.createDataFrame([(i, [float(i % 2 * 9), i * 0.1]) for i in range(8)], "k bigint, v array<double>")
+    got = AP.affinity_propagation(df.unionByName(df.limit(2)), "k", "v", 0.8, 30, 5, neighbors=3).collect()
+    assert sorted(r.k for r in got) == list(range(8)) and {r.exemplar % 2 for r in got if r.k % 2} == {1}
