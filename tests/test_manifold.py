@@ -188,3 +188,21 @@ def test_meetings_report_only_what_may_be_kept():
         "center": [0] * 4, "key": [0, 1, 2, 3], "vec": [[0.0], [1.0], [3.0], [7.0]], "reach": [1.0, 2.0, float("inf"), 0.5]})
     found = {(a, b) for out in G._meeting_edges(3)(iter([batch])) for a, b in zip(out["key"].to_pylist(), out["neighbor"].to_pylist())}
     assert found == {(0, 1), (1, 0), (1, 2), (2, 0), (2, 1), (2, 3)}
+
+
+def test_edges_are_exact_beyond_one_leaf(spark):
+    x = np.random.default_rng(3).normal(size=(2500, 24))  # noise, where the approximate graph misses edges
+    got = {(r.key, r.neighbor) for r in MF.neighbor_edges(frame(spark, x).repartition(4), "k", "v", 5).collect()}
+    assert got == {(i, int(j)) for i, near_i in enumerate(near(x, 5)) for j in near_i}
+
+
+def test_edges_of_repeated_keys_count_a_neighbour_once(spark):
+    x = clusters(60)
+    both = frame(spark, x).unionByName(frame(spark, x[:6])).unionByName(spark.createDataFrame([(77, None)], "k bigint, v array<double>"))
+    got = {}
+    for r in MF.neighbor_edges(both.repartition(3), "k", "v", 4).collect():
+        got.setdefault(r.key, []).append((r.distance, r.neighbor))
+    d = dense(x)
+    d[np.arange(6), np.arange(6)] = 0.0  # a copy of the row is a row
+    assert set(got) == set(range(60))
+    assert all({j for _, j in found} == set(np.argsort(d[i])[:4].tolist()) and len(found) == 4 for i, found in got.items())
